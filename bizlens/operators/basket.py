@@ -18,8 +18,8 @@ def pair_counts(
     ``by_rows`` counts pairs of rows, so a product that is listed twice counts twice; otherwise every
     transaction counts a pair once.  ``n`` keeps the most frequent pairs.
 
-    Rows are first reduced to one per transaction and product.  Products that occur less often than
-    ``min_count`` cannot be in a result pair and leave before the join.  A basket with more than ``block``
+    Rows are first reduced to one per transaction and product.  When transactions are counted, products in
+    fewer than ``min_count`` of them cannot be in a result pair and leave before the join.  A basket with more than ``block``
     products is dealt into blocks by a hash of the product, and every two blocks meet under their own join
     key, so no task pairs more than about ``block`` by ``block`` products however large the basket is.
     """

@@ -83,14 +83,10 @@ def threshold_costs(
 
     One pass: scores are counted by the highest threshold they reach, then cumulated over those few rows.
     """
-    value = F.col(score).cast("double")
-    thresholds = [i / steps for i in range(1, steps)]
-    reach = F.least(F.floor(value * steps) + 1, F.lit(steps - 1))
-    edges = F.lit([0.0, *thresholds])
-    reached = F.when(value < thresholds[0], 0)
-    for back in (0, 1):
-        reached = reached.when(value >= F.get(edges, F.greatest(reach - back, F.lit(0)).cast("int")), reach - back)
-    reached = reached.otherwise(reach - 2)
+    value, width = F.col(score).cast("double"), F.lit(float(steps))
+    guess = F.floor(value * width)
+    reached = guess + F.when(value >= (guess + 1) / width, 1).when(value < guess / width, -1).otherwise(0)
+    reached = F.greatest(F.lit(0), F.least(reached, F.lit(steps - 1)))
     counts = scored.groupBy(reached.cast("int").alias("step")).agg(
         F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"))
     every = scored.sparkSession.range(0, steps).select(F.col("id").cast("int").alias("step"))

@@ -117,7 +117,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     value = {c: F.col(c).cast("double") for c in columns}
     rows = df.agg(*[
         F.struct(
-            F.lit(c).alias("column_name"), F.count(value[c]).alias("count"), F.avg(value[c]).alias("mean"),
+            F.lit(c).alias("column_name"), F.count(value[c]).alias("count"), mean(c).alias("mean"),
             F.stddev_samp(value[c]).alias("std"), F.min(value[c]).alias("min"),
             *[F.lit(q).cast("double").alias(n) for n, q in zip(("q25", "q50", "q75"), quartiles[c])],
             F.max(value[c]).alias("max")).alias(f"_{i}")
@@ -135,7 +135,7 @@ def pivot_matrix(
 
 def crosstab(df: DataFrame, row: str, column: str, domain: Sequence, prefix: str = "") -> DataFrame:
     """Counts by row and column, zero where there are none."""
-    wide = df.groupBy(row).pivot(column, list(domain)).agg(F.count("*"))
+    wide = df.groupBy(row).pivot(column, list(domain)).agg(F.count(F.lit(1)))
     return wide.select(row, *[F.coalesce(F.col(f"`{d}`"), F.lit(0)).alias(f"{prefix}{d}") for d in domain])
 
 
