@@ -99,6 +99,8 @@ def dedupe_by(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep:
     An aggregate, not a window: partial results shrink a key with very many rows before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates()
     pick = F.min_by if keep == "first" else F.max_by
     chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order_by)).alias("_row"))
     return chosen.select(*keys, "_row.*").select(*df.columns)

@@ -158,7 +158,7 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
     """Rows per value, nulls left out, most frequent first; ``normalize`` adds the per cent."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     if normalize:
-        counts = counts.withColumn("pct", pct(F.col("n"), df.agg(F.count(column)).scalar()))
+        counts = counts.withColumn("pct", pct(F.col("n"), counts.agg(F.sum("n")).scalar()))
     return counts.orderBy(F.desc("n"), column)
 
 
@@ -172,15 +172,15 @@ def share_of_total(df: DataFrame, by: Sequence[str], measure: Column, digits: in
 
 def contribution(df: DataFrame, by: Sequence[str], amount: str) -> DataFrame:
     """Revenue per group and its per cent of all revenue."""
-    whole = df.agg(F.sum(amount)).scalar()
-    return df.groupBy(*by).agg(F.sum(amount).alias("revenue")).withColumn("revenue_pct", pct(F.col("revenue"), whole))
+    groups = df.groupBy(*by).agg(F.sum(amount).alias("revenue"))
+    return groups.withColumn("revenue_pct", pct(F.col("revenue"), groups.agg(F.sum("revenue")).scalar()))
 
 
 def pareto(df: DataFrame, by: Sequence[str], amount: str, **scale) -> DataFrame:
     """Revenue per group, cumulated from the largest, with the cumulative share."""
     groups = df.groupBy(*by).agg(F.sum(amount).alias("revenue"))
     summed = running(groups, [], [F.desc("revenue"), *by], {"cumulative": F.col("revenue")}, **scale)
-    return summed.withColumn("cumulative_pct", pct(F.col("cumulative"), df.agg(F.sum(amount)).scalar()))
+    return summed.withColumn("cumulative_pct", pct(F.col("cumulative"), groups.agg(F.sum("revenue")).scalar()))
 
 
 def rollup_summary(df: DataFrame, levels: Sequence[str], sums: dict[str, Column]) -> DataFrame:
