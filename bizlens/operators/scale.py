@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from bizlens.session import checkpoint_folder
 
@@ -90,9 +91,11 @@ class _Bracket:
     answer: object = None
 
 
-def _literal(row, dtype) -> Column:
-    """A struct literal equal to a collected key."""
-    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
+def _literal(key, dtype: DataType) -> Column:
+    """A literal equal to a collected key, plain or struct."""
+    if not isinstance(dtype, StructType):
+        return F.lit(key).cast(dtype)
+    return F.struct(*[F.lit(key[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
 
 
 def order_statistics(
@@ -105,7 +108,7 @@ def order_statistics(
 ) -> list:
     """The keys at 0-based ``ranks``, one ``(key name, rank)`` each.
 
-    ``keys`` are structs from :func:`sort_key`; rows with a null key do not count.  ``totals`` holds the
+    ``keys`` are plain columns or structs from :func:`sort_key`; rows with a null key do not count.  ``totals`` holds the
     number of rows per key.  Every round is two aggregates over ``df`` whatever the number of ranks.
     """
     work = df.select(*[column.alias(name) for name, column in keys.items()])
@@ -223,25 +226,19 @@ def exact_quantiles(
         return {name: found[name] or [None] * len(probabilities) for name in columns}
     df = settled(df)
     totals = df.agg(*[F.count(name).alias(name) for name in columns]).first().asDict()
-    keys = {name: F.when(F.col(name).isNotNull(), F.struct(F.col(name).alias("k0"))) for name in columns}
-    ranks = []
-    for name in columns:
-        for p in probabilities:
-            position = p * (totals[name] - 1)
-            lower = int(position)
-            ranks += [(name, lower), (name, min(lower + 1, totals[name] - 1))] if totals[name] else []
-    rows = iter(order_statistics(df, keys, ranks, totals, bracket_rows, sample_rows) if ranks else [])
-    result = {}
-    for name in columns:
-        values = []
-        for p in probabilities:
-            if not totals[name]:
-                values.append(None)
-                continue
-            low, high = next(rows).k0, next(rows).k0
-            position = p * (totals[name] - 1)
-            values.append(low + (high - low) * (position - int(position)))
-        result[name] = values
+    keys = {name: F.col(name) for name in columns}
+    places = {
+        name: [(int(p * (totals[name] - 1)), p * (totals[name] - 1) % 1) for p in probabilities]
+        for name in columns if totals[name]}
+    ranks = sorted({
+        (name, rank) for name, spots in places.items() for low, part in spots
+        for rank in ((low, low + 1) if part else (low,))})
+    found = dict(zip(ranks, order_statistics(df, keys, ranks, totals, bracket_rows, sample_rows))) if ranks else {}
+    result = {name: [None] * len(probabilities) for name in columns}
+    for name, spots in places.items():
+        result[name] = [
+            found[name, low] + (found[name, low + 1] - found[name, low]) * part if part else found[name, low]
+            for low, part in spots]
     return result
 
 
@@ -286,8 +283,12 @@ def running(
     for key in keys:
         match &= F.col(key).eqNullSafe(F.col(f"_of_{key}"))
     window = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = spread.join(F.broadcast(carry), match, "left").withColumns({
-        name: F.sum(f"_value_{name}").over(window) + F.coalesce(f"_carry_{name}", F.lit(0)) for name in values})
+    joined = spread.join(F.broadcast(carry), match, "left")
+    sums = {}
+    for name in values:
+        inside, before = F.sum(f"_value_{name}").over(window), F.col(f"_carry_{name}")
+        sums[name] = F.coalesce(inside + before, inside, before)
+    summed = joined.withColumns(sums)
     return summed.select(*df.columns, *values)
 
 

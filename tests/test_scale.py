@@ -84,6 +84,13 @@ def test_running_sums_equal_the_window(skewed, keys):
     assert both.where("place <> e2 OR coalesce(total, 0) <> coalesce(e1, 0)").count() == 0
 
 
+def test_running_sums_over_leading_nulls(spark):
+    frame = spark.range(40).select("id", F.when(F.col("id") % 4 == 3, F.col("id")).alias("v"))
+    found = scale.running(frame, [], ["id"], {"s": F.col("v")}, group_rows=2, slices=13, **DISTRIBUTED)
+    plain = scale.running(frame, [], ["id"], {"s": F.col("v")})
+    assert found.exceptAll(plain).count() == 0 and found.where("s is null").count() == 3
+
+
 def test_long_series_are_cut_into_chunks(skewed):
     options = {"group_rows": 50, "small_bytes": 0}
     lagged = features.add_lags(skewed, ["key"], "id", "few", [1, 7], **options)
