@@ -1,0 +1 @@
+"""Operators: every function takes and returns DataFrames."""

@@ -1,56 +1,90 @@
-"""Products bought together."""
+"""Products bought together.
+
+Counting pairs needs the pairs of every basket, so baskets with very many products are the danger.  Rows
+are first reduced to one per basket and product.  If some basket is larger than a block:
+
+* pairs that cannot reach the wanted count are not formed: by Cauchy and Schwarz a pair's count is at most
+  the product of the two products' norms over all baskets.  For a top-n the count to reach is found from
+  the pairs of a few strong products, whose n-th best count bounds the answer's from below.
+* the products of such a basket are dealt into blocks by a hash, and every two blocks meet under their own
+  join key, so no task pairs more than about block by block products.
+
+Both keep the result exact.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct products of one basket that one task pairs up; larger baskets are dealt out in blocks.
+from bizlens.operators.scale import settled
+
+#: Distinct products of one basket that one task pairs up.
 BLOCK_PRODUCTS = 256
+#: Strong products whose pairs give the first bound of a top-n.
+PROBE_PRODUCTS = 512
+
+
+def _pairs(items: DataFrame, block: int, large: DataFrame | None, floor: int) -> DataFrame:
+    """Counts of all pairs that can reach ``floor``."""
+    columns = ["_txn", "_product", "_weight"] + (["_square"] if floor > 1 else [])
+    if large is None:
+        placed = items.select(*columns, F.lit(0).alias("_i"), F.lit(0).alias("_j"))
+        left, right = placed, placed
+    else:
+        sized = items.join(large, F.col("_txn") == F.col("_large"), "left")
+        blocks = F.coalesce(F.ceil(F.col("_size") / block).cast("int"), F.lit(1))
+        own = F.pmod(F.xxhash64("_product"), blocks).cast("int")
+        every = F.explode(F.sequence(F.lit(0), blocks - 1))
+        left = sized.select(*columns, own.alias("_i"), every.alias("_j"))
+        right = sized.select(*columns, every.alias("_i"), own.alias("_j"))
+    a = left.select(*[F.col(c).alias(f"a{c}") for c in (*columns, "_i", "_j")])
+    b = right.select(*[F.col(c).alias(f"b{c}") for c in (*columns, "_i", "_j")])
+    together = (F.col("a_txn") == F.col("b_txn")) & (F.col("a_product") < F.col("b_product"))
+    if large is not None:
+        together &= (F.col("a_i") == F.col("b_i")) & (F.col("a_j") == F.col("b_j"))
+    if floor > 1:
+        together &= F.col("a_square") * F.col("b_square") >= F.lit(float(floor) ** 2 * (1 - 1e-9))
+    counts = a.join(b, together).groupBy(F.col("a_product").alias("product_a"), F.col("b_product").alias("product_b"))
+    return counts.agg(F.sum(F.col("a_weight") * F.col("b_weight")).alias("pair_count"))
+
+
+def _ranked(pairs: DataFrame) -> DataFrame:
+    return pairs.orderBy(F.desc("pair_count"), "product_a", "product_b")
 
 
 def pair_counts(
     df: DataFrame, txn: str, product: str, min_count: int = 1, n: int | None = None, by_rows: bool = True,
-    block: int = BLOCK_PRODUCTS,
+    block: int = BLOCK_PRODUCTS, probe: int = PROBE_PRODUCTS,
 ) -> DataFrame:
     """How often two products share a transaction, each unordered pair once (``product_a < product_b``).
 
     ``by_rows`` counts pairs of rows, so a product that is listed twice counts twice; otherwise every
-    transaction counts a pair once.  ``n`` keeps the most frequent pairs.
-
-    Rows are first reduced to one per transaction and product.  When transactions are counted, products in
-    fewer than ``min_count`` of them cannot be in a result pair and leave before the join.  A basket with more than ``block``
-    products is dealt into blocks by a hash of the product, and every two blocks meet under their own join
-    key, so no task pairs more than about ``block`` by ``block`` products however large the basket is.
+    transaction counts a pair once.  ``min_count`` leaves out rarer pairs, ``n`` keeps the most frequent.
     """
     weight = F.count("*") if by_rows else F.lit(1).cast("long")
-    items = (
+    items = settled(
         df.where(F.col(txn).isNotNull() & F.col(product).isNotNull())
         .groupBy(F.col(txn).alias("_txn"), F.col(product).alias("_product")).agg(weight.alias("_weight"))
     )
-    if min_count > 1 and not by_rows:
-        frequent = items.groupBy(F.col("_product").alias("_frequent")).agg(F.count("*").alias("_in"))
-        frequent = frequent.where(F.col("_in") >= min_count).select("_frequent")
-        items = items.join(frequent, F.col("_product") == F.col("_frequent"), "left_semi")
-    large = (
-        items.groupBy(F.col("_txn").alias("_large")).agg(F.count("*").alias("_size")).where(F.col("_size") > block)
-        .select("_large", F.ceil(F.col("_size") / block).cast("int").alias("_blocks"))
-    )
-    placed = items.join(large, F.col("_txn") == F.col("_large"), "left").select(
-        "_txn", "_product", "_weight", F.coalesce("_blocks", F.lit(1)).alias("_blocks"))
-    own = F.pmod(F.xxhash64("_product"), F.col("_blocks")).cast("int")
-    blocks = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    left = placed.select(
-        F.col("_txn").alias("_ta"), F.col("_product").alias("product_a"), F.col("_weight").alias("_wa"),
-        own.alias("_ia"), F.explode(blocks).alias("_ja"))
-    right = placed.select(
-        F.col("_txn").alias("_tb"), F.col("_product").alias("product_b"), F.col("_weight").alias("_wb"),
-        F.explode(blocks).alias("_ib"), own.alias("_jb"))
-    together = (F.col("_ta") == F.col("_tb")) & (F.col("_ia") == F.col("_ib")) & (F.col("_ja") == F.col("_jb"))
-    pairs = (
-        left.join(right, together & (F.col("product_a") < F.col("product_b")))
-        .groupBy("product_a", "product_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("pair_count"))
-    )
+    sizes = items.groupBy(F.col("_txn").alias("_large")).agg(F.count("*").alias("_size"))
+    large = sizes.where(F.col("_size") > block)
+    if large.isEmpty():
+        large = None
+    floor, kept = min_count, items
+    if large is not None and (n is not None or min_count > 1):
+        square = F.sum(F.col("_weight") * F.col("_weight")).cast("double")
+        norms = items.groupBy(F.col("_product").alias("_normed")).agg(square.alias("_square"))
+        if n is not None:
+            strong = norms.orderBy(F.desc("_square"), "_normed").limit(probe).select("_normed")
+            few = items.join(F.broadcast(strong), F.col("_product") == F.col("_normed"), "left_semi")
+            reached = _ranked(_pairs(few, block, large, 1)).offset(n - 1).limit(1).collect()
+            floor = max([floor] + [row.pair_count for row in reached])
+        if floor > 1:
+            strongest = norms.agg(F.max("_square")).scalar()
+            able = norms.where(F.col("_square") * strongest >= F.lit(float(floor) ** 2 * (1 - 1e-9)))
+            kept = items.join(able, F.col("_product") == F.col("_normed")).drop("_normed")
+    pairs = _pairs(kept, block, large, floor if large is not None else 1)
     if min_count > 1:
         pairs = pairs.where(F.col("pair_count") >= min_count)
-    return pairs if n is None else pairs.orderBy(F.desc("pair_count"), "product_a", "product_b").limit(n)
+    return pairs if n is None else _ranked(pairs).limit(n)

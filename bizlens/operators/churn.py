@@ -86,9 +86,13 @@ def latest_periods(df: DataFrame, period: str, n: int = 2) -> DataFrame:
 
 
 def _two_periods(df: DataFrame, key: str, period: str) -> DataFrame:
-    """Per key of the two latest periods: was it there now, was it there before."""
-    current = df.agg(F.max(period)).scalar()
-    previous = df.where(F.col(period) < current).agg(F.max(period)).scalar()
+    """Per key of the two latest periods: was it there now, was it there before.
+
+    Both periods come from one list of distinct periods, which the two subqueries share.
+    """
+    known = df.select(period).distinct()
+    current = known.agg(F.max(period)).scalar()
+    previous = known.agg(F.max(F.when(F.col(period) < current, F.col(period)))).scalar()
     return (
         df.where((F.col(period) == current) | (F.col(period) == previous)).groupBy(key)
         .agg(F.bool_or(F.col(period) == current).alias("now"), F.bool_or(F.col(period) != current).alias("before"))
@@ -121,7 +125,7 @@ def retention_churn_report(df: DataFrame, key: str, period: str, generated_at=No
         pct(F.count_if(F.col("before") & ~F.col("now")), F.count_if("before")).cast(rate_type).alias("churn_rate"),
         pct(F.count_if(F.col("now") & F.col("before")), F.count_if("before")).cast(rate_type).alias("retention_rate"),
     )
-    report = report.withColumn("report_month", df.agg(F.max(period)).scalar())
+    report = report.withColumn("report_month", df.select(period).distinct().agg(F.max(period)).scalar())
     if generated_at is not None:
         report = report.withColumn("generated_at", F.lit(generated_at).cast("timestamp"))
     return report

@@ -83,7 +83,7 @@ def fill_missing(df: DataFrame, rules: dict[str, object]) -> DataFrame:
 
 def fill_median_date(df: DataFrame, column: str) -> DataFrame:
     """Fill null dates with the median date (the earlier day when it falls between two)."""
-    middle = exact_quantiles(df, {"d": F.unix_date(column)}, (0.5,))["d"][0]
+    middle = exact_quantiles(df, {"d": F.unix_date(column)}, (0.5,), few_values=True)["d"][0]
     if middle is None:
         return df
     return df.withColumn(column, F.coalesce(F.col(column), F.date_from_unix_date(F.lit(int(middle // 1)))))

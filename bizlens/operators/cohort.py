@@ -123,8 +123,8 @@ def cohort_activity(df: DataFrame, key: str, date: str, amount: str) -> DataFram
 
 
 def nth_event(df: DataFrame, key: str, date: str, n: int) -> DataFrame:
-    """The n-th distinct date of every key that has one."""
-    days = df.where(F.col(date).isNotNull()).select(key, date).distinct()
+    """The n-th distinct date of every key that has one; a key has at most as many rows as days."""
+    days = df.where(F.col(date).isNotNull()).select(key, F.col(date).cast("date").alias(date)).distinct()
     place = F.row_number().over(Window.partitionBy(key).orderBy(date))
     return days.withColumn("_place", place).where(F.col("_place") == n).drop("_place")
 

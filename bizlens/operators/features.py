@@ -93,7 +93,7 @@ def stratified_split(
 
 def time_split(df: DataFrame, date: str, test: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Earlier rows to train, the last share by date to test; rows of one date stay together."""
-    edge = exact_quantiles(df, {"d": F.unix_date(F.col(date).cast("date"))}, (1 - test,))["d"][0]
+    edge = exact_quantiles(df, {"d": F.unix_date(F.col(date).cast("date"))}, (1 - test,), few_values=True)["d"][0]
     if edge is None:
         return df, df.limit(0)
     cut = F.date_from_unix_date(F.lit(int(edge)))
@@ -113,21 +113,21 @@ def _cells(points: DataFrame, features: Sequence[str], key: str, cell_rows: int)
     """Minority rows split into cells of about ``cell_rows`` by halving on the features in turn.
 
     Every level cuts all cells at their approximate median; equal values are dealt out by the key's hash,
-    so copies of one point cannot pile up.  The cut table has one row per cell.
+    so copies of one point cannot pile up.  The cuts of a level are one number per cell, fetched and sent
+    back as a literal table, so the split is a chain of map-side lookups and gives the same cells again
+    when a task is repeated.
     """
-    points = settled(points.withColumn("_cell", F.lit(0)))
+    points = settled(points).withColumn("_cell", F.lit(0).cast("long"))
     rows, level = points.count(), 0
     while rows / 2**level > cell_rows:
-        feature = features[level % len(features)]
-        cuts = points.groupBy(F.col("_cell").alias("_at")).agg(
-            F.percentile_approx(F.col(feature).cast("double"), 0.5, 1_000).alias("_cut"))
-        half = F.when(F.col(feature) > F.col("_cut"), 1).when(F.col(feature) < F.col("_cut"), 0).otherwise(
-            F.pmod(F.xxhash64(F.col(key), F.lit(level)), F.lit(2)).cast("int"))
-        points = points.join(cuts, F.col("_cell") == F.col("_at")).withColumn(
+        feature = F.col(features[level % len(features)])
+        cuts = points.groupBy("_cell").agg(F.percentile_approx(feature, 0.5, 1_000).alias("_cut")).collect()
+        table = points.sparkSession.createDataFrame([tuple(c) for c in cuts], "_at long, _cut double")
+        half = F.when(feature > F.col("_cut"), 1).when(feature < F.col("_cut"), 0).otherwise(
+            F.pmod(F.xxhash64(F.col(key), F.lit(level)), F.lit(2)))
+        points = points.join(F.broadcast(table), F.col("_cell") == F.col("_at")).withColumn(
             "_cell", F.col("_cell") * 2 + half).drop("_at", "_cut")
         level += 1
-        if level % 8 == 0:
-            points = settled(points)
     return points
 
 

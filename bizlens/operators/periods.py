@@ -40,7 +40,7 @@ def weekday_summary(df: DataFrame, date: str, amount: str) -> DataFrame:
 
 def moving_average(df: DataFrame, date: str, amount: str, rows: int = 7, digits: int = 2) -> DataFrame:
     """Daily revenue and its mean over the last ``rows`` days that have sales; shorter at the start."""
-    daily = df.groupBy(date).agg(F.sum(amount).alias("daily_revenue"))
+    daily = df.groupBy(F.col(date).cast("date").alias(date)).agg(F.sum(amount).alias("daily_revenue"))
     window = Window.orderBy(date).rowsBetween(1 - rows, 0)
     average = F.sum("daily_revenue").over(window).cast("double") / F.count("daily_revenue").over(window)
     return daily.withColumn("moving_avg", F.round(average, digits))

@@ -89,6 +89,14 @@ def rfm_segment(
     })
 
 
+def rfm_report(
+    df: DataFrame, key: str, date: str, amount: str, as_of="max", n: int = 5, best_is_high: bool = True,
+    rules: str | Sequence[tuple[Column | str, str]] = "detailed",
+) -> DataFrame:
+    """Base, scores, code and segment in one call."""
+    return rfm_segment(rfm_score(rfm_base(df, key, date, amount, as_of), key, n, best_is_high), rules)
+
+
 def segment_counts(segmented: DataFrame) -> DataFrame:
     return segmented.groupBy("segment").agg(F.count("*").alias("customers")).orderBy(F.desc("customers"), "segment")
 

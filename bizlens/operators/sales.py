@@ -24,6 +24,26 @@ def profit_measures(df: DataFrame, qty: str, price: str, cost: str, by: Sequence
     return df.groupBy(*by).agg(*measures) if by else df.agg(*measures)
 
 
+def profit_via(
+    lines: DataFrame, products: DataFrame, line_key: str, product_key: str, qty: str, price: str, cost: str,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The profit measures when the cost is a product column, by attributes of the product.
+
+    Revenue and units are summed per product before the join, so it moves one row per product and a
+    product with very many lines costs nothing.
+    """
+    sold = lines.groupBy(F.col(line_key).alias("_sold")).agg(
+        F.sum(F.col(price) * F.col(qty)).alias("_revenue"), F.sum(qty).alias("_units"))
+    costs = products.select(F.col(product_key).alias("_made"), F.col(cost).alias("_unit_cost"), *by)
+    joined = sold.join(costs, F.col("_sold") == F.col("_made"))
+    revenue, spent = F.sum("_revenue"), F.sum(F.col("_units") * F.col("_unit_cost"))
+    grouped = joined.groupBy(*by) if by else joined
+    return grouped.agg(
+        revenue.alias("revenue"), spent.alias("cost"), (revenue - spent).alias("gross_profit"),
+        pct(revenue - spent, revenue).alias("margin_pct"))
+
+
 def lead_time_summary(df: DataFrame, by: Sequence[str | Column], start: str, end: str) -> DataFrame:
     """Mean and total days from start to end per group."""
     days = F.date_diff(end, start)
@@ -41,8 +61,9 @@ def orders_by_channel(df: DataFrame, channel: str, order_id: str) -> DataFrame:
     return share_of_total(df, [channel], F.count_distinct(order_id))
 
 
-def top_products_by_profit(df: DataFrame, product: str, qty: str, price: str, cost: str, n: int = 20) -> DataFrame:
-    return profit_measures(df, qty, price, cost, [product]).orderBy(F.desc("gross_profit"), product).limit(n)
+def top_by_profit(profits: DataFrame, keys: Sequence[str], n: int = 20) -> DataFrame:
+    """The ``n`` most profitable groups of a profit table."""
+    return profits.orderBy(F.desc("gross_profit"), *keys).limit(n)
 
 
 def order_scatter(df: DataFrame, order_id: str, channel: str, amount: Column, discount: str) -> DataFrame:

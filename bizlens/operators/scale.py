@@ -26,6 +26,8 @@ from bizlens.session import checkpoint_folder
 REREAD_BYTES = 256 << 20
 #: Frames computed from at most this many bytes may be sorted by one task (the sort spills).
 SMALL_BYTES = 32 << 20
+#: Plan nodes without a shuffle (fixed values).
+READ_NODES = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Union"}
 #: Rows one task may sort for a window; larger groups are split.
 GROUP_ROWS = 1_000_000
 #: Rows of one bracket that are sorted in one aggregate at the end of a selection.
@@ -40,14 +42,21 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def _node_names(plan) -> set[str]:
+    children = plan.children()
+    return {plan.nodeName()}.union(*[_node_names(children.apply(i)) for i in range(children.size())])
+
+
 def settled(df: DataFrame, reread_bytes: int = REREAD_BYTES) -> DataFrame:
-    """``df`` itself when its input is small, else a checkpoint of it.
+    """``df`` itself when it is cheap to compute again, else a checkpoint of it.
 
     For frames that several jobs read: the checkpoint is written once to the shared folder, so later
-    jobs neither repeat the shuffles before it nor depend on executors that may be gone.
+    jobs neither repeat the shuffles before it nor depend on executors that may be gone.  A scan with
+    projections and filters is read again instead: its columns are pruned, a copy's would not be.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if plan.nodeName() == "LogicalRDD" or input_bytes(df) <= reread_bytes:
+    if input_bytes(df) <= reread_bytes:
+        return df
+    if _node_names(df._jdf.queryExecution().optimizedPlan()) <= READ_NODES:
         return df
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
@@ -214,14 +223,16 @@ def exact_quantiles(
     bracket_rows: int = BRACKET_ROWS,
     sample_rows: int = SAMPLE_ROWS,
     small_bytes: int | None = None,
+    few_values: bool = False,
 ) -> dict[str, list]:
     """Exact quantiles with linear interpolation, nulls left out; values are doubles (None if no rows).
 
-    ``percentile`` keeps every distinct value in one buffer, so it serves small input only.
+    ``percentile`` keeps every distinct value in one buffer, so it serves small input, and columns that
+    can only have ``few_values``, such as dates; otherwise the quantiles are selected.
     """
     df = df.select(*[
         (F.col(c) if isinstance(c, str) else c).cast("double").alias(name) for name, c in columns.items()])
-    if is_small(df, small_bytes):
+    if few_values or is_small(df, small_bytes):
         found = df.agg(*[F.percentile(name, F.lit(list(probabilities))).alias(name) for name in columns]).first()
         return {name: found[name] or [None] * len(probabilities) for name in columns}
     df = settled(df)

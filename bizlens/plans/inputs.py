@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.functions import money
+from bizlens.sources.readers import table
 
 SQL_VIEWS = {
     "ord": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
@@ -69,7 +70,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def ord(self) -> DataFrame:

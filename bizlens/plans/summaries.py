@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bizlens.functions import mean, per, rate
+from bizlens.functions import mean, pct, per, rate
 from bizlens.operators import clean, joins, segment, summary
 from bizlens.operators.quality import with_scalars
 from bizlens.plans.registry import report
@@ -98,8 +98,9 @@ def _(t):
     SELECT brand, count(*) AS records, count(*) FILTER (WHERE status = 'R') AS matching,
       1e2 * count(*) FILTER (WHERE status = 'R') / count(*) AS pct FROM line JOIN prod ON product_id = part_id GROUP BY 1""")
 def _(t):
-    return summary.rate_by(
-        t.line.join(t.prod, F.col("product_id") == F.col("part_id")), ["brand"], F.col("status") == "R")
+    counted = summary.summarize_via(t.line, t.prod, "product_id", "part_id", ["brand"], {
+        "records": F.lit(1), "matching": F.when(F.col("status") == "R", 1).otherwise(0)})
+    return counted.withColumn("pct", pct(F.col("matching"), F.col("records")))
 
 
 @report("supplier_problem_orders", "A8 P11", "supplier_id:i records:i matching:i", """
@@ -150,8 +151,9 @@ def _(t):
     SELECT product_id, sum(qty) AS total_sold, CAST(sum(size) AS DOUBLE) / count(*) AS avg_stock
     FROM line JOIN prod ON product_id = part_id GROUP BY 1""")
 def _(t):
+    sold = t.line.groupBy("product_id").agg(F.sum("qty").alias("qty"))
     return summary.inventory_velocity(
-        t.line.join(t.prod, F.col("product_id") == F.col("part_id")), "product_id", "qty", "size")
+        sold.join(t.prod, F.col("product_id") == F.col("part_id")), "product_id", "qty", "size")
 
 
 @report("describe_order_value", "A17 W6", "n:i total:f mean:f6 min:f max:f median:f4", """

@@ -168,6 +168,9 @@ def test_pairs_with_one_giant_basket(spark, by_rows, block):
     found = {(r.product_a, r.product_b): r.pair_count for r in basket.pair_counts(
         frame, "t", "p", by_rows=by_rows, block=block).collect()}
     assert found == dict(expected)
+    best = sorted(expected.items(), key=lambda item: (-item[1], item[0]))[:7]
+    top = basket.pair_counts(frame, "t", "p", n=7, by_rows=by_rows, block=block, probe=5).collect()
+    assert [((r.product_a, r.product_b), r.pair_count) for r in top] == best
     often = basket.pair_counts(frame, "t", "p", min_count=3, by_rows=by_rows, block=block)
     assert {(r.product_a, r.product_b): r.pair_count for r in often.collect()} == {
         k: v for k, v in expected.items() if v >= 3}
