@@ -18,7 +18,7 @@ def money(c: Column | str) -> Column:
 def clean_number(text: Column | str, keep_sign: bool = False) -> Column:
     """Double from text with currency signs, separators or words; null when no number is left.
 
-    Like the notebook it follows, the default loses a minus sign; ``keep_sign`` keeps a leading one.
+    The default loses a minus sign, as the payroll cleaning does; ``keep_sign`` keeps a leading one.
     """
     text = column(text)
     number = F.regexp_replace(text, "[^0-9.]", "").try_cast("double")

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.joins import attach
 from bizlens.operators.scale import settled
 
 #: Distinct products of one basket that one task pairs up.
@@ -32,7 +33,7 @@ def _pairs(items: DataFrame, block: int, large: DataFrame | None, floor: int) ->
         placed = items.select(*columns, F.lit(0).alias("_i"), F.lit(0).alias("_j"))
         left, right = placed, placed
     else:
-        sized = items.join(large, F.col("_txn") == F.col("_large"), "left")
+        sized = attach(items, large, "_txn", "_rows", "left")
         blocks = F.coalesce(F.ceil(F.col("_size") / block).cast("int"), F.lit(1))
         own = F.pmod(F.xxhash64("_product"), blocks).cast("int")
         every = F.explode(F.sequence(F.lit(0), blocks - 1))
@@ -67,23 +68,23 @@ def pair_counts(
         df.where(F.col(txn).isNotNull() & F.col(product).isNotNull())
         .groupBy(F.col(txn).alias("_txn"), F.col(product).alias("_product")).agg(weight.alias("_weight"))
     )
-    sizes = items.groupBy(F.col("_txn").alias("_large")).agg(F.count("*").alias("_size"))
-    large = sizes.where(F.col("_size") > block)
+    sizes = items.groupBy("_txn").agg(F.count("*").alias("_size"))
+    large = sizes.where(F.col("_size") > block).withColumn("_rows", F.col("_size"))
     if large.isEmpty():
         large = None
     floor, kept = min_count, items
     if large is not None and (n is not None or min_count > 1):
         square = F.sum(F.col("_weight") * F.col("_weight")).cast("double")
-        norms = items.groupBy(F.col("_product").alias("_normed")).agg(square.alias("_square"))
+        norms = items.groupBy("_product").agg(square.alias("_square"), F.count("*").alias("_rows"))
         if n is not None:
-            strong = norms.orderBy(F.desc("_square"), "_normed").limit(probe).select("_normed")
-            few = items.join(F.broadcast(strong), F.col("_product") == F.col("_normed"), "left_semi")
+            strong = norms.orderBy(F.desc("_square"), "_product").limit(probe).select("_product")
+            few = items.join(F.broadcast(strong), "_product", "left_semi")
             reached = _ranked(_pairs(few, block, large, 1)).offset(n - 1).limit(1).collect()
             floor = max([floor] + [row.pair_count for row in reached])
         if floor > 1:
             strongest = norms.agg(F.max("_square")).scalar()
             able = norms.where(F.col("_square") * strongest >= F.lit(float(floor) ** 2 * (1 - 1e-9)))
-            kept = items.join(able, F.col("_product") == F.col("_normed")).drop("_normed")
+            kept = attach(items, able, "_product", "_rows")
     pairs = _pairs(kept, block, large, floor if large is not None else 1)
     if min_count > 1:
         pairs = pairs.where(F.col("pair_count") >= min_count)

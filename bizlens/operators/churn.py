@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions import as_date, mean, month_start, pct, rate
+from bizlens.operators.joins import attach
 from bizlens.operators.scale import exact_quantiles, running, settled
 from bizlens.sources.sinks import append_report
 
@@ -136,14 +137,14 @@ def run_retention_churn_report(df: DataFrame, key: str, period: str, path: str,
     return append_report(retention_churn_report(df, key, period, generated_at), path, "report_month")
 
 
-def churn_label(df: DataFrame, key: str, date: str, as_of, days: int = 90) -> DataFrame:
+def churn_label(df: DataFrame, key: str, date: str, as_of, days: int = 90, **scale) -> DataFrame:
     """Every row with its key's days since the last purchase and the churn flag."""
     last = (
-        df.groupBy(F.col(key).alias("_key")).agg(F.max(date).alias("_last"))
+        df.groupBy(key).agg(F.max(date).alias("_last"), F.count("*").alias("_rows"))
         .withColumn("days_since", F.date_diff(_today(df, date, as_of), "_last"))
-        .withColumn("churn", F.when(F.col("days_since") > days, 1).otherwise(0))
+        .withColumn("churn", F.when(F.col("days_since") > days, 1).otherwise(0)).drop("_last")
     )
-    return df.join(last, df[key].eqNullSafe(last["_key"]), "left").drop("_key", "_last")
+    return attach(df, last, key, "_rows", **scale)
 
 
 def churn_rate(labelled: DataFrame, key: str | None = None) -> DataFrame:
@@ -172,7 +173,7 @@ def repeat_purchase_rate(df: DataFrame, key: str, order_id: str | None = None) -
     return counts.agg(rate(F.col("_orders") > 1, None).alias("repeat_purchase_rate_pct"))
 
 
-def box_stats(df: DataFrame, by: str, value: str, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, by: str, value: str, whisker: float = 1.5, **scale) -> DataFrame:
     """Quartiles, whisker ends and outlier count of ``value`` per group: the numbers of a box plot.
 
     Quartiles are exact.  For few groups they are selected together; for many groups every row gets its
@@ -185,12 +186,13 @@ def box_stats(df: DataFrame, by: str, value: str, whisker: float = 1.5) -> DataF
         columns = {
             f"g{i}": F.when(F.col(by).eqNullSafe(F.lit(row[by])), F.col("_v")) for i, row in enumerate(few)}
         found = exact_quantiles(rows, columns, (0.25, 0.5, 0.75)) if few else {}
-        schema = f"q1 double, median double, q3 double, {by} {rows.schema[by].dataType.simpleString()}"
+        schema = f"q1 double, median double, q3 double, `{by}` {rows.schema[by].dataType.simpleString()}, n long"
         quartiles = df.sparkSession.createDataFrame(
-            [(*found[f"g{i}"], row[by]) for i, row in enumerate(few)], schema)
+            [(*found[f"g{i}"], row[by], row["n"]) for i, row in enumerate(few)], schema)
     else:
-        ranked = running(rows, [by], ["_v"], {"_place": F.lit(1)}).join(groups, by)
-        exprs = []
+        ranked = running(rows, [by], ["_v"], {"_place": F.lit(1)})
+        ranked = attach(ranked, groups.withColumn("_rows", F.col("n")), by, "_rows", **scale)
+        exprs = [F.max("n").alias("n")]
         for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
             spot = F.lit(p) * (F.col("n") - 1)
             low = F.max(F.when(F.col("_place") - 1 == F.floor(spot), F.col("_v")))
@@ -202,8 +204,8 @@ def box_stats(df: DataFrame, by: str, value: str, whisker: float = 1.5) -> DataF
     low_fence, high_fence = F.col("q1") - whisker * spread, F.col("q3") + whisker * spread
     inside = F.col("_v").between(low_fence, high_fence)
     return (
-        rows.join(F.broadcast(quartiles) if len(few) <= SIDE_BY_SIDE else quartiles, by)
-        .groupBy(by, "q1", "median", "q3").agg(
-            F.count("*").alias("n"), F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+        attach(rows, quartiles.withColumn("_rows", F.col("n")), by, "_rows", **scale)
+        .groupBy(by, "q1", "median", "q3", "n").agg(
+            F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_v"))).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions import month_start, months_apart, per, whole_months
+from bizlens.operators.joins import with_group_value
 
 
 def _index(mode: str, start: Column, end: Column, base: int) -> Column:
@@ -21,15 +22,17 @@ def _index(mode: str, start: Column, end: Column, base: int) -> Column:
 
 
 def cohort_index(
-    df: DataFrame, key: str, date: str, cohort_date: str | None = None, base: int = 0, mode: str = "calendar"
+    df: DataFrame, key: str, date: str, cohort_date: str | None = None, base: int = 0, mode: str = "calendar", **scale
 ) -> DataFrame:
     """Adds ``cohort_month``, ``activity_month`` and ``cohort_index`` to every row.
 
     The cohort is the month of the key's first ``cohort_date`` (default ``date``).  ``base`` is the index
-    of that month; ``mode`` counts calendar months or elapsed whole months between month starts.
+    of that month; ``mode`` counts calendar months or elapsed whole months between month starts.  Rows
+    without a key are left out.
     """
-    first = df.groupBy(F.col(key).alias("_key")).agg(month_start(F.min(cohort_date or date)).alias("cohort_month"))
-    joined = df.join(first, df[key] == first["_key"]).drop("_key").withColumn("activity_month", month_start(date))
+    known = df.where(F.col(key).isNotNull())
+    first = month_start(F.min(cohort_date or date))
+    joined = with_group_value(known, key, first, "cohort_month", **scale).withColumn("activity_month", month_start(date))
     return joined.withColumn("cohort_index", _index(mode, F.col("cohort_month"), F.col("activity_month"), base))
 
 

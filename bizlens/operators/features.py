@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.joins import attach
 from bizlens.operators.scale import exact_quantiles, series_columns, settled
 
 #: Minority rows whose neighbours one task searches.
@@ -100,13 +101,13 @@ def time_split(df: DataFrame, date: str, test: float = 0.2) -> tuple[DataFrame,
     return df.where(F.col(date) <= cut), df.where(F.col(date) > cut)
 
 
-def class_weights(df: DataFrame, label: str, into: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, label: str, into: str = "weight", **scale) -> DataFrame:
     """Balanced weights: rows / (classes * rows of the class)."""
-    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    labelled = df.where(F.col(label).isNotNull())
+    sizes = labelled.groupBy(label).agg(F.count("*").alias("_n"))
     whole = sizes.agg(F.struct(F.sum("_n").alias("rows"), F.count("*").alias("classes"))).scalar()
-    weights = sizes.select("_label", (
-        whole["rows"].cast("double") / (whole["classes"] * F.col("_n"))).alias(into))
-    return df.join(weights, F.col(label) == F.col("_label")).drop("_label")
+    weight = whole["rows"].cast("double") / (whole["classes"] * F.col("_n"))
+    return attach(labelled, sizes.withColumn(into, weight), label, "_n", **scale)
 
 
 def _cells(points: DataFrame, features: Sequence[str], key: str, cell_rows: int) -> DataFrame:

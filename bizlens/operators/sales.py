@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions import mean, pct
 from bizlens.operators.clean import late_flag
+from bizlens.operators.joins import with_group_value
 from bizlens.operators.summary import share_of_total
 
 
@@ -80,11 +81,7 @@ def product_price_points(
     ).where(F.col("orders").between(low, high))
 
 
-def discount_profit(df: DataFrame, discount: str, qty: str, price: str, cost: str) -> DataFrame:
-    """Profit of every row with the mean profit of its discount level.
-
-    The mean joins back from one row per level, so a common level does not gather in one task.
-    """
-    profit = (F.col(price) - F.col(cost)) * F.col(qty)
-    levels = df.groupBy(F.col(discount).alias("_level")).agg(mean(profit, 2).alias("level_avg_profit"))
-    return df.withColumn("profit", profit).join(levels, F.col(discount).eqNullSafe(F.col("_level"))).drop("_level")
+def discount_profit(df: DataFrame, discount: str, qty: str, price: str, cost: str, **scale) -> DataFrame:
+    """Profit of every row with the mean profit of its discount level."""
+    rows = df.withColumn("profit", (F.col(price) - F.col(cost)) * F.col(qty))
+    return with_group_value(rows, discount, mean("profit", 2), "level_avg_profit", **scale)

@@ -163,8 +163,8 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
 
 
 def share_of_total(df: DataFrame, by: Sequence[str], measure: Column, digits: int | None = 2) -> DataFrame:
-    """A measure per group, its total over the groups and the share; also for distinct counts, whose
-    total is taken over the whole frame as the workbook does."""
+    """A measure per group, the measure of the whole frame, and the share (shares of distinct counts can
+    add up to more than 100)."""
     whole = df.agg(measure).scalar()
     return df.groupBy(*by).agg(measure.alias("value")).withColumns({
         "total": whole, "share_pct": pct(F.col("value"), whole, digits)})

@@ -44,7 +44,8 @@ def _(t):
     return features.standardize(t.line, features.fit_standardizer(t.line, ["qty", "total"]))
 
 
-@report("feature_matrix", "M4 P21", "doc_id:i label:f width:i")
+@report("feature_matrix", "M4 P21", "doc_id:i label:f width:i",
+        "SELECT doc_id, toxic AS label, 6 AS width FROM labels JOIN documents USING (doc_id)")
 def _(t):
     matrix = features.assemble(documents(t), FEATURES, "toxic", ["doc_id"])
     return matrix.select("doc_id", "label", F.size(vector_to_array("features")).alias("width"))
@@ -201,6 +202,20 @@ def weekly(t):
 DEMAND = ["lag_1", "lag_7", "roll_7"]
 
 
+@report("forecast_inputs", "M2 M6 M17 P21", "brand:s week:s units:f lag_1:f lag_7:f roll_7:f6 part:s", """
+    WITH d AS (SELECT brand, date_trunc('week', ship_date)::DATE AS week, sum(qty) AS units
+      FROM line JOIN prod ON product_id = part_id GROUP BY ALL),
+    f AS (SELECT *, lag(units, 1) OVER s AS lag_1, lag(units, 7) OVER s AS lag_7,
+      CAST(sum(units) OVER (PARTITION BY brand ORDER BY week ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) / 7e0 AS roll_7
+      FROM d WINDOW s AS (PARTITION BY brand ORDER BY week)),
+    k AS (SELECT * FROM f WHERE lag_7 IS NOT NULL)
+    SELECT *, CASE WHEN date_diff('day', DATE '1970-01-01', week) <= (SELECT trunc(quantile_cont(CAST(date_diff('day',
+      DATE '1970-01-01', week) AS DOUBLE), 0.8)) FROM k) THEN 'train' ELSE 'test' END AS part FROM k""")
+def _(t):
+    train, test = features.time_split(weekly(t), "week")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 def forecast(t, kind):
     """The forest keeps its 300 trees but stops at depth 8: every further level of all trees is another
     pass over the training rows, and the library's default of 30 levels is a matter of hours at scale."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions import mean
 from bizlens.operators import churn, rfm, summary
+from bizlens.plans.customers import segments
 from bizlens.plans.registry import report
 from bizlens.session import scratch_path
 from bizlens.sources import readers, sinks
@@ -72,7 +73,9 @@ def _(t):
     return sinks.save_table(counted, "bizlens_line_segments", path=scratch_path(t.spark, "segments"))
 
 
-@report("saved_rfm_table", "S7 R3 R4", "segment:s customers:i avg_monetary:f2")
+@report("saved_rfm_table", "S7 R3 R4", "segment:s customers:i avg_monetary:f2", f"""
+    SELECT segment, count(*) AS customers, CAST(sum(monetary) AS DOUBLE) / count(*) AS avg_monetary
+    FROM ({segments('billing')}) x GROUP BY 1""")
 def _(t):
     base = rfm.rfm_base(t.ord, "customer_id", "order_date", "amount")
     scored = rfm.rfm_segment(rfm.rfm_score(base, "customer_id"), "billing")

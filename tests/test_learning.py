@@ -133,6 +133,26 @@ def test_models_learn(rare, tmp_path):
     assert models.score(loaded, test, ["id"]).exceptAll(models.score(logistic, test, ["id"])).count() == 0
 
 
+def test_linear_model_is_the_least_squares_fit(spark):
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(200, 3))
+    target = rows @ [1.5, -2.0, 0.3] + 4 + draw.normal(size=200)
+    frame = spark.createDataFrame([(*map(float, r), float(y)) for r, y in zip(rows, target)], "a double, b double, c double, y double")
+    model = models.fit_linear(frame, ["a", "b", "c"], "y").stages[-1]
+    expected = np.linalg.lstsq(np.column_stack([rows, np.ones(200)]), target, rcond=None)[0]
+    assert np.allclose([*model.coefficients, model.intercept], expected, atol=1e-6)
+
+
+def test_logistic_penalty_is_one_over_rows(rare):
+    model = models.fit_logistic(rare, ["x", "y"], "label")
+    points = np.array([[r.x, r.y, r.label] for r in rare.collect()])
+    weights = np.array([*model.stages[-1].coefficients, model.stages[-1].intercept])
+    inputs = np.column_stack([points[:, :2], np.ones(len(points))])
+    chance = 1 / (1 + np.exp(-inputs @ weights))
+    gradient = inputs.T @ (chance - points[:, 2]) + np.array([weights[0], weights[1], 0.0])
+    assert np.abs(gradient).max() < 0.5
+
+
 def test_regression(spark):
     frame = spark.range(50).select(F.col("id").cast("double").alias("x"), (3 * F.col("id") + 1).cast("double").alias("y"))
     out = models.forecast_output(models.fit_linear(frame, ["x"], "y"), frame, ["x"], "y")

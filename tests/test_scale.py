@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bizlens.operators import features, scale, summary
+from bizlens.operators import features, joins, scale, summary
 
 DISTRIBUTED = {"small_bytes": 0}
 
@@ -113,3 +113,22 @@ def test_settled_keeps_small_input_and_checkpoints_large(spark, skewed):
     kept = scale.settled(frame, reread_bytes=-1)
     assert kept is not frame and kept.count() == 2
     assert scale.settled(kept, reread_bytes=-1) is kept
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_salted_without_changing_the_join(skewed, how):
+    sizes = skewed.withColumn("key", F.when(F.col("id") % 5 != 0, F.col("key"))).groupBy("key").agg(
+        F.sum("few").alias("total"), F.count("*").alias("n"))
+    table = sizes if how == "inner" else sizes.where("key IS NULL OR key < 20")
+    found = joins.attach(skewed, table, "key", "n", how, hot_rows=300, **DISTRIBUTED)
+    plain = joins.attach(skewed, table, "key", "n", how, small_bytes=1 << 60)
+    assert found.count() == plain.count() > 0
+    assert found.exceptAll(plain.select(found.columns)).count() == 0
+
+
+def test_rows_of_a_hot_key_are_dealt_out(skewed):
+    table = skewed.groupBy("key").agg(F.count("*").alias("n")).withColumnRenamed("key", "_key")
+    dealt, copies = joins._dealt(skewed, table, "key", "n", 300)
+    groups = dealt.groupBy("key", "_salt").count()
+    assert groups.agg(F.max("count")).first()[0] < 450 and groups.where("key = 0").count() == 23
+    assert copies.where("_key = 0").count() == 23 and copies.where("_key = 2").count() <= 2
