@@ -15,6 +15,8 @@ from bizlens.operators.scale import exact_quantiles, series_columns, settled
 
 #: Minority rows whose neighbours one task searches.
 CELL_ROWS = 4_000
+#: Cells whose cut points are sent to every task.
+BROADCAST_CELLS = 100_000
 
 
 def calendar_features(df: DataFrame, date: str) -> DataFrame:
@@ -126,7 +128,9 @@ def _cells(points: DataFrame, features: Sequence[str], key: str, cell_rows: int)
         table = points.sparkSession.createDataFrame([tuple(c) for c in cuts], "_at long, _cut double")
         half = F.when(feature > F.col("_cut"), 1).when(feature < F.col("_cut"), 0).otherwise(
             F.pmod(F.xxhash64(F.col(key), F.lit(level)), F.lit(2)))
-        points = points.join(F.broadcast(table), F.col("_cell") == F.col("_at")).withColumn(
+        if len(cuts) <= BROADCAST_CELLS:
+            table = F.broadcast(table)
+        points = points.join(table, F.col("_cell") == F.col("_at")).withColumn(
             "_cell", F.col("_cell") * 2 + half).drop("_at", "_cut")
         level += 1
     return points
@@ -139,6 +143,8 @@ def smote(
     """Adds synthetic minority rows until both classes have the same size.
 
     A synthetic row lies on the line between a minority row and one of its ``k`` nearest minority rows.
+    Python only finds the neighbours, cell by cell; the copies are made as column expressions, from hashes
+    of the key, so a repeated task makes the same rows.
     Up to ``cell_rows`` minority rows the neighbours are exact; beyond, they are the nearest within the
     row's cell.  Synthetic rows have a null key.
     """
@@ -154,28 +160,29 @@ def smote(
     few = few.withColumn("_copies", F.lit(each) + F.when(F.col("_draw") < limit, 1).otherwise(0)).drop("_draw")
     names = list(features)
 
-    def synthesize(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_key", ignore_index=True)
+    def neighbours(pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf[names].to_numpy(float)
         squares = (points * points).sum(axis=1)
         reach = min(k, len(points) - 1)
-        made = []
+        near = []
         for start in range(0, len(points), 512):
             block = points[start:start + 512]
             gaps = squares[start:start + 512, None] + squares[None, :] - 2 * block @ points.T
             gaps[np.arange(len(block)), start + np.arange(len(block))] = np.inf
-            near = np.argsort(gaps, axis=1, kind="stable")[:, :reach]
-            for offset, row in enumerate(block):
-                copies = int(pdf["_copies"].iat[start + offset])
-                if not copies or not reach:
-                    continue
-                rng = np.random.default_rng([seed, *pdf["_key"].iat[start + offset].encode()])
-                other = points[near[offset][rng.integers(0, reach, copies)]]
-                made.append(row + rng.random((copies, 1)) * (other - row))
-        return pd.DataFrame(np.vstack(made) if made else np.empty((0, len(names))), columns=names)
-
-    schema = ", ".join(f"`{n}` double" for n in names)
-    made = _cells(few, names, "_key", cell_rows).groupBy("_cell").applyInPandas(synthesize, schema)
+            near += [points[row].tolist() for row in np.argsort(gaps, axis=1, kind="stable")[:, :reach]]
+        return pd.DataFrame({"_key": pdf["_key"], "_copies": pdf["_copies"], "_point": points.tolist(), "_near": near})
+
+    schema = "_key string, _copies long, _point array<double>, _near array<array<double>>"
+    found = _cells(few, names, "_key", cell_rows).groupBy("_cell").applyInPandas(neighbours, schema)
+    made = (
+        found.where("_copies > 0 AND size(_near) > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+        .withColumn("_other", F.get("_near", F.pmod(F.xxhash64("_key", "_copy", F.lit(seed)), F.size("_near")).cast("int")))
+        .withColumn("_step", F.pmod(F.xxhash64("_copy", "_key", F.lit(seed + 1)), F.lit(2**52)) / F.lit(float(2**52)))
+    )
+    made = made.select(*[
+        (F.get("_point", F.lit(i)) + F.col("_step") * (F.get("_other", F.lit(i)) - F.get("_point", F.lit(i)))).alias(n)
+        for i, n in enumerate(names)])
     real = train.select(F.col(key), *[F.col(f).cast("double").alias(f) for f in names], F.col(label))
     blank = F.lit(None).cast(train.schema[key].dataType)
     return real.unionByName(made.select(

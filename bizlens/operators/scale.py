@@ -23,7 +23,7 @@ from pyspark.sql.types import DataType, StructType
 from bizlens.session import checkpoint_folder
 
 #: Input below this many bytes is cheaper to read again than to checkpoint.
-REREAD_BYTES = 256 << 20
+REREAD_BYTES = 32 << 20
 #: Frames computed from at most this many bytes may be sorted by one task (the sort spills).
 SMALL_BYTES = 32 << 20
 #: Plan nodes without a shuffle (fixed values).
