@@ -64,14 +64,13 @@ def pair_counts(
     transaction counts a pair once.  ``min_count`` leaves out rarer pairs, ``n`` keeps the most frequent.
     """
     weight = F.count("*") if by_rows else F.lit(1).cast("long")
-    items = settled(
-        df.where(F.col(txn).isNotNull() & F.col(product).isNotNull())
-        .groupBy(F.col(txn).alias("_txn"), F.col(product).alias("_product")).agg(weight.alias("_weight"))
-    )
-    sizes = items.groupBy("_txn").agg(F.count("*").alias("_size"))
-    large = sizes.where(F.col("_size") > block).withColumn("_rows", F.col("_size"))
-    if large.isEmpty():
-        large = None
+    known = df.where(F.col(txn).isNotNull() & F.col(product).isNotNull())
+    items = known.groupBy(F.col(txn).alias("_txn"), F.col(product).alias("_product")).agg(weight.alias("_weight"))
+    large = None
+    if not known.groupBy(txn).agg(F.count("*").alias("_n")).where(F.col("_n") > block).isEmpty():
+        items = settled(items)
+        sizes = items.groupBy("_txn").agg(F.count("*").alias("_size"))
+        large = sizes.where(F.col("_size") > block).withColumn("_rows", F.col("_size"))
     floor, kept = min_count, items
     if large is not None and (n is not None or min_count > 1):
         square = F.sum(F.col("_weight") * F.col("_weight")).cast("double")
