@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm import crf, langid, mix, token_counts
+from bizlens.llm import crf, langid, mix, substrings, token_counts
 from bizlens.llm.text import WORD
 
-HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+#: Rows kept out of what is learned; false for a null id.
+HELD_OUT = "coalesce(pmod(crc32(cast(doc_id as string)), 4) = 2, false)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def held_out(df: DataFrame) -> DataFrame:
-    """``df`` with held_out: whether crc32 of the id as text leaves 2 when divided by 4 (false for a null id)."""
-    return df.withColumn("held_out", F.coalesce(HELD_OUT, F.lit(False)))
-
-
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = crf.fit_quality(docs, table(spark, sf_dir, "labels"), F.coalesce(~HELD_OUT, F.lit(False)))
+    model = crf.fit_quality(docs, table(spark, sf_dir, "labels"), ~F.expr(HELD_OUT))
     scored = crf.score_quality(docs.select("doc_id", "text"), model)
-    return held_out(scored).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +28,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
@@ -40,9 +41,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    langs, parsers = langid.fit_parsers(docs.where(~HELD_OUT), "text", "lang", F.xxhash64("doc_id"))
-    return held_out(langid.identify(docs, langs, parsers)).select("doc_id", "held_out", "lang_pred", "score")
+    langs, parsers = langid.fit_parsers(docs.where(~F.expr(HELD_OUT)), "text", "lang", F.xxhash64("doc_id"))
+    found = langid.identify(docs, langs, parsers)
+    return found.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op4_line_quality, op7_token_counts, op9_source_mix, op10_language)}
+QUERIES = {f.__name__: f for f in (
+    op4_line_quality, op7_token_counts, op8_repeated_windows, op9_source_mix, op10_language)}
 SQL: dict[str, str] = {}
