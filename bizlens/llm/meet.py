@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from bizlens.llm.text import stored
 
 #: Characters of input per part.
-PART_CHARS = 12_000_000
-LEAST_PARTS = 16
+PART_CHARS = 16_000_000
+LEAST_PARTS = 64
 LAST_ID = 2**63 - 1
 
 
