@@ -8,6 +8,7 @@ hash that a step holds more than once is sent once, so no hash brings a part mor
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,8 @@ def lists(owner: np.ndarray, values: np.ndarray, ids: np.ndarray) -> tuple[pa.Ar
 def settle(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored, and the shuffle files of finished steps let go: Spark removes them once the driver has no use for them."""
     result = stored(df, name)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):  # listeners still hold the plan while they work off its events
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
     return result
