@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm import crf, langid, mix, substrings, suffixes, token_counts
+from bizlens.llm import crf, jaccard, langid, mix, substrings, suffixes, token_counts
 from bizlens.llm.text import WORD
 
 #: Rows kept out of what is learned; false for a null id.
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_strings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -52,5 +57,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_repeated_strings, op4_line_quality, op7_token_counts, op8_repeated_windows, op9_source_mix, op10_language)}
+    op1_near_duplicates, op3_repeated_strings, op4_line_quality, op7_token_counts, op8_repeated_windows, op9_source_mix, op10_language)}
 SQL: dict[str, str] = {}
