@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.llm import crf, jaccard, langid, mix, substrings, suffixes, token_counts
+from bizlens.llm import bpe, crf, jaccard, langid, merkle, mix, rules, substrings, suffixes, token_counts
 from bizlens.llm.text import WORD
 
 #: Rows kept out of what is learned; false for a null id.
@@ -21,6 +21,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_strings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -33,6 +37,18 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return rules.rule_quality(docs, trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -57,5 +73,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_duplicates, op3_repeated_strings, op4_line_quality, op7_token_counts, op8_repeated_windows, op9_source_mix, op10_language)}
+    op1_near_duplicates, op2_fingerprints, op3_repeated_strings, op4_line_quality, op5_quality_rules, op6_bpe, op7_token_counts,
+    op8_repeated_windows, op9_source_mix, op10_language)}
 SQL: dict[str, str] = {}
