@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are split by the tokenizer's pattern.  The distinct words of a batch of texts are encoded once, by a fold in Spark's higher-order
-functions: a word is an array of byte ids with the rank of each neighbouring pair, and each step merges the first pair
-of the lowest rank, which a constant rank map gives.  Decoding concatenates the binary pieces of the ids.  The map and the pieces
-are constant columns of a batch: as literals of the plan they were evaluated again for every look-up.
+Texts are split by the tokenizer's pattern.  The distinct words of a batch of texts are encoded once, by a fold of ranked merges:
+words of one length lie side by side as rows of ids, and each step merges in every row the first pair of the lowest rank, which
+a constant rank map gives.  A very long word is folded alone, with a heap of its pairs.  Decoding concatenates the binary
+pieces of the ids.
 """
 
 from __future__ import annotations
@@ -11,19 +11,19 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.rules import let
-
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NO_PAIR = 2**31 - 1
-CONSTANTS = ("first_ranks", "second_ranks", "byte_ids", "pieces")
 #: Words of one batch, whose distinct words are encoded together.
 BATCH_WORDS = 1_000_000
+#: Cells of one table of words of equal length, and the longest word (in bytes) in such a table.
+CELLS, TABLE_BYTES = 1 << 18, 128
 
 
 @functools.cache
@@ -36,80 +36,104 @@ def ranks_of(name: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-@functools.cache
-def rank_map(name: str) -> tuple[list[int], list[int]]:
-    """Rank of every mergeable pair of ids, as two tables.
+class Merges:
+    """Rank of every mergeable pair of ids (a, b), under the key ``a * 2**32 + b``."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.pairs = {ranks[piece[:i]] << 32 | ranks[piece[i:]]: rank for piece, rank in ranks.items() for i in range(1, len(piece))
+                      if piece[:i] in ranks and piece[i:] in ranks}
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.values = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            self.pieces[rank] = piece
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], NO_PAIR)
+
+    def fold_table(self, ids: np.ndarray) -> list[np.ndarray]:
+        """Ids of words of one length, a row each; a row leaves the table when none of its pairs can be merged."""
+        done: list[np.ndarray] = [None] * len(ids)
+        row = np.arange(len(ids))
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        while ids.shape[1] > 1:
+            at = ranks.argmin(1)
+            low = ranks[np.arange(len(at)), at]
+            for k in np.flatnonzero(low == NO_PAIR).tolist():
+                done[row[k]] = ids[k]
+            alive = low != NO_PAIR
+            row, ids, ranks, at, low = row[alive], ids[alive], ranks[alive], at[alive], low[alive]
+            if not len(row):
+                return done
+            line, width = np.arange(len(row)), ids.shape[1]
+            ids[line, at] = low
+            ids = ids[np.arange(width) != (at + 1)[:, None]].reshape(-1, width - 1)
+            ranks = ranks[np.arange(width - 1) != at[:, None]].reshape(-1, width - 2)
+            for side, has in ((-1, at > 0), (0, at < width - 2)):
+                k, place = line[has], at[has] + side
+                ranks[k, place] = self.rank(ids[k, place], ids[k, place + 1])
+        for k, r in enumerate(row.tolist()):
+            done[r] = ids[k]
+        return done
+
+    def fold_long(self, word: bytes) -> np.ndarray:
+        """Ids of one word, whose pairs wait in a heap by rank and place."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+        ahead, back = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        heap = []
+
+        def offer(i):
+            rank = self.pairs.get(ids[i] << 32 | ids[ahead[i]]) if i >= 0 and ahead[i] < len(ids) else None
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[ahead[i]]))
+
+        for i in range(len(ids)):
+            offer(i)
+        while heap:
+            rank, i, a, b = heapq.heappop(heap)
+            j = ahead[i]
+            if ids[i] != a or j >= len(ids) or ids[j] != b:
+                continue
+            ids[i], ids[j], ahead[i] = rank, -1, ahead[j]
+            if ahead[j] < len(ids):
+                back[ahead[j]] = i
+            offer(back[i])
+            offer(i)
+        return np.array([x for x in ids if x >= 0], np.int64)
+
+    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word.  A word that is a piece of the vocabulary is that piece, as the library has it."""
+        out = [np.array([self.ranks[w]]) if w in self.ranks else None for w in words]
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if out[i] is None:
+                by_length.setdefault(len(w), []).append(i)
+        for length, places in by_length.items():
+            if length > TABLE_BYTES:
+                for i in places:
+                    out[i] = self.fold_long(words[i])
+                continue
+            for start in range(0, len(places), CELLS // length):
+                part = places[start:start + CELLS // length]
+                data = np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(-1, length)
+                for i, ids in zip(part, self.fold_table(self.byte_ids[data])):
+                    out[i] = ids
+        return out
 
-    A pair (a, b) with key ``a * 65536 + b`` stands as ``key * 65536 + rank`` at ``key`` modulo the table's size, in
-    one table or the other: where the first place is taken, its entry moves to its other table, and so on.
-    """
-    ranks = ranks_of(name)
-    pairs = [(ranks[piece[:i]] << 16 | ranks[piece[i:]], rank) for piece, rank in ranks.items() for i in range(1, len(piece))
-             if piece[:i] in ranks and piece[i:] in ranks]
-    size = 5 * len(pairs) // 4 | 1
-    while True:
-        tables, ok = ([0] * size, [0] * (size + 2)), True
-        for key, rank in pairs:
-            entry, side = key << 16 | rank, 0
-            for _ in range(500):
-                place = (entry >> 16) % len(tables[side])
-                tables[side][place], entry = entry, tables[side][place]
-                if not entry:
-                    break
-                side = 1 - side
-            ok &= not entry
-        if ok:
-            return tables
-        size = size * 5 // 4 | 1
-
-
-def encode_words(words: Column, tables: tuple[Column, Column], byte_ids: Column) -> Column:
-    """Ids of each word of an array of byte arrays, by the tables of ``rank_map`` and the ids of the bytes."""
-
-    def rank(a: Column, b: Column) -> Column:
-        def look(key):
-            entries = [F.get(t, (key % F.size(t)).cast("int")) for t in tables]
-            chosen = F.lit(NO_PAIR)
-            for entry in entries:
-                chosen = F.when(F.shiftright(entry, 16) == key, entry.bitwiseAND(F.lit(65535)).cast("int")).otherwise(chosen)
-            return chosen
-        return let(a.cast("bigint") * 65536 + b.cast("bigint"), look)
-
-    def start(ids):
-        pairs = F.transform(F.sequence(F.lit(1), F.size(ids) - 1), lambda i: rank(F.get(ids, i - 1), F.get(ids, i)))
-        return F.struct(ids.alias("ids"), pairs.alias("ranks"))
-
-    def merge(state: Column, low: Column, at: Column) -> Column:
-        ids, old, n = state["ids"], state["ranks"], F.size(state["ids"])
-        none = F.array().cast("array<int>")
-        left = F.when(at > 1, F.array(rank(F.get(ids, at - 2), low))).otherwise(none)
-        right = F.when(at + 1 < n, F.array(rank(low, F.get(ids, at + 1)))).otherwise(none)
-        return F.struct(
-            F.concat(F.slice(ids, 1, at - 1), F.array(low), F.slice(ids, at + 2, n)).alias("ids"),
-            F.concat(F.slice(old, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(old, at + 2, n)).alias("ranks"))
-
-    def step(state, _):
-        def act(low):
-            return F.when(low == NO_PAIR, state).otherwise(
-                let(F.array_position(state["ranks"], low).cast("int"), lambda at: merge(state, low, at)))
-        return let(F.coalesce(F.array_min(state["ranks"]), F.lit(NO_PAIR)), act)
-
-    def fold(ids):
-        return F.when(F.size(ids) < 2, ids).otherwise(
-            F.aggregate(F.sequence(F.lit(2), F.size(ids)), start(ids), step, lambda state: state["ids"]))
-
-    return F.transform(words, lambda w: let(F.transform(w, lambda b: F.get(byte_ids, b)), fold))
-
-
-def decode_words(coded: Column, pieces: Column) -> Column:
-    """Bytes of each array of ids, as the concatenation of their pieces."""
-    return F.transform(coded, lambda ids: F.aggregate(ids, F.lit(b""), lambda done, i: F.concat(done, F.get(pieces, i))))
+
+@functools.cache
+def merges_of(name: str) -> Merges:
+    return Merges(ranks_of(name))
 
 
 def encode(docs: DataFrame, name: str = VOCABULARY, text_col: str = "text", keep=("doc_id",)) -> DataFrame:
     """Columns ``keep`` with n_tokens, ids_sha256 (of the ids joined by commas), ids (binary, 32-bit each) and decoded (bytes).
 
-    Null texts are empty and have no id.  A word that is a piece of the vocabulary is that piece, as the library has it.
+    Null and empty texts have no id and decode to nothing.  Equal rows have equal results; an empty table has none.
     """
     import public_tokenizers
 
@@ -117,19 +141,8 @@ def encode(docs: DataFrame, name: str = VOCABULARY, text_col: str = "text", keep
     rows = docs.select(*[F.col(c) for c in keep], words.alias("_words"))
     keep = list(keep)
 
-    def constant(values, kind):
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
-
-    def gather(batches):
-        """One row per batch: the kept columns as lists, words per text, word numbers, and the distinct words as bytes."""
-        ranks = ranks_of(name)
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece
-        first_table, second_table = rank_map(name)
-        constants = [
-            constant(first_table, pa.int64()), constant(second_table, pa.int64()), constant([ranks[bytes([b])] for b in range(256)], pa.int32()),
-            constant(pieces, pa.binary())]
+    def code(batches):
+        merges = merges_of(name)
         for batch in batches:
             column = batch.column("_words")
             counts = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -137,62 +150,27 @@ def encode(docs: DataFrame, name: str = VOCABULARY, text_col: str = "text", keep
             first = 0
             while first < batch.num_rows:
                 last = min(max(int(np.searchsorted(total, total[first] + BATCH_WORDS, "right")) - 1, first + 1), batch.num_rows)
-                part = column.slice(first, last - first)
-                coded = part.flatten().cast(pa.string()).dictionary_encode()
-                if isinstance(coded, pa.ChunkedArray):
-                    coded = coded.combine_chunks()
-                distinct = [w.encode() for w in coded.dictionary.to_pylist()]
-                whole = [ranks.get(w, -1) for w in distinct]
-                folded = [w if r < 0 else b"" for w, r in zip(distinct, whole)]
-                offsets = np.concatenate([[0], np.cumsum([len(w) for w in folded])]).astype(np.int32)
-                values = np.frombuffer(b"".join(folded), np.uint8).astype(np.int32)
-                cells = [pa.ListArray.from_arrays(pa.array([0, last - first], pa.int32()), batch.column(c).slice(first, last - first)) for c in keep]
-                one = pa.array([0, len(distinct)], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [*cells, pa.array([counts[first:last].tolist()], pa.list_(pa.int64())),
-                     pa.array([coded.indices.to_numpy().astype(np.int32).tobytes()], pa.binary()),
-                     pa.ListArray.from_arrays(one, pa.array(whole, pa.int32())),
-                     pa.ListArray.from_arrays(one, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))), *constants],
-                    [*[f"k{i}" for i in range(len(keep))], "counts", "numbers", "whole", "bytes", *CONSTANTS])
+                yield coded(batch.slice(first, last - first), counts[first:last].tolist(), merges)
                 first = last
 
-    fields = [rows.schema[c] for c in keep]
-    kinds = [f.dataType.simpleString() for f in fields]
-    schema = ", ".join([f"k{i} array<{k}>" for i, k in enumerate(kinds)] + ["counts array<long>", "numbers binary", "whole array<int>", "bytes array<array<int>>",
-                        "first_ranks array<long>", "second_ranks array<long>", "byte_ids array<int>", "pieces array<binary>"])
-    batches = rows.mapInArrow(gather, schema)
-    folded = encode_words(F.col("bytes"), (F.col("first_ranks"), F.col("second_ranks")), F.col("byte_ids"))
-    coded = batches.select(
-        *[f"k{i}" for i in range(len(keep))], "counts", "numbers", "pieces",
-        F.zip_with("whole", folded, lambda w, ids: F.when(w >= 0, F.array(w)).otherwise(ids)).alias("coded"))
-    both = coded.withColumn("decoded", decode_words(F.col("coded"), F.col("pieces"))).drop("pieces")
-
-    def assemble(batches):
-        out_names = [*keep, "n_tokens", "ids_sha256", "ids", "decoded"]
-        for batch in batches:
-            for r in range(batch.num_rows):
-                counts = batch.column("counts")[r].values.to_numpy()
-                numbers = np.frombuffer(batch.column("numbers")[r].as_py(), np.int32).tolist()
-                ids = batch.column("coded")[r].values
-                flat, cut = ids.flatten().to_numpy().tolist(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).tolist()
-                texts = [",".join(map(str, flat[a:b])) for a, b in zip(cut, cut[1:])]
-                raw = [np.array(flat[a:b], "<i4").tobytes() for a, b in zip(cut, cut[1:])]
-                pieces = batch.column("decoded")[r].values.to_pylist()
-                at, out = 0, [[], [], [], []]
-                for n in counts.tolist():
-                    own = numbers[at:at + n]
-                    at += n
-                    packed = b"".join([raw[k] for k in own])
-                    out[0].append(len(packed) // 4)
-                    out[1].append(hashlib.sha256(",".join([texts[k] for k in own]).encode()).hexdigest())
-                    out[2].append(packed)
-                    out[3].append(b"".join([pieces[k] for k in own]))
-                cells = [batch.column(f"k{i}")[r].values for i in range(len(keep))]
-                for a in range(0, len(counts), 2000):
-                    b = min(a + 2000, len(counts))
-                    yield pa.RecordBatch.from_arrays(
-                        [*[c.slice(a, b - a) for c in cells], pa.array(out[0][a:b], pa.int64()), pa.array(out[1][a:b]),
-                         pa.array(out[2][a:b], pa.binary()), pa.array(out[3][a:b], pa.binary())], out_names)
-
-    result = rows.drop("_words").schema.add("n_tokens", "long").add("ids_sha256", "string").add("ids", "binary").add("decoded", "binary")
-    return both.mapInArrow(assemble, result)
+    def coded(batch, counts, merges):
+        words = batch.column("_words").flatten().cast(pa.string()).dictionary_encode()
+        ids = merges.encode([w.encode() for w in words.dictionary.to_pylist()])
+        texts = [",".join(map(str, x.tolist())) for x in ids]
+        raw = [x.astype("<i4").tobytes() for x in ids]
+        decoded = [b"".join([merges.pieces[i] for i in x.tolist()]) for x in ids]
+        numbers = words.indices.to_numpy(zero_copy_only=False).tolist()
+        at, out = 0, [[], [], [], []]
+        for n in counts:
+            own = numbers[at:at + n]
+            at += n
+            packed = b"".join([raw[k] for k in own])
+            out[0].append(len(packed) // 4)
+            out[1].append(hashlib.sha256(",".join([texts[k] for k in own]).encode()).hexdigest())
+            out[2].append(packed)
+            out[3].append(b"".join([decoded[k] for k in own]))
+        added = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.string(), pa.binary(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *added], [*keep, "n_tokens", "ids_sha256", "ids", "decoded"])
+
+    schema = rows.drop("_words").schema.add("n_tokens", "long").add("ids_sha256", "string").add("ids", "binary").add("decoded", "binary")
+    return rows.mapInArrow(code, schema)
