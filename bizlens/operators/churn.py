@@ -10,8 +10,8 @@ from bizlens.operators.joins import attach
 from bizlens.operators.scale import exact_quantiles, running, settled
 from bizlens.sources.sinks import append_report
 
-#: Members a one-line list may name; longer lists are read from :func:`inactive_members`.
-LIST_MEMBERS = 10_000
+#: Members named in one part of a list.
+LIST_PART = 1_000
 #: Groups whose quantiles are selected side by side in one aggregate.
 SIDE_BY_SIDE = 32
 
@@ -32,26 +32,26 @@ def inactive_members(df: DataFrame, key: str, date: str, days: int = 90, as_of="
     return last_activity(df, key, date, as_of).where(F.col("days_since") > days)
 
 
-def inactive_summary(
-    df: DataFrame, key: str, date: str, days: int = 90, as_of="max", with_list: bool = False
-) -> DataFrame:
-    """Keys tracked, keys inactive for more than ``days`` days, their per cent and, on request, their names.
+def inactive_list(df: DataFrame, key: str, date: str, days: int = 90, as_of="max", members: int = LIST_PART) -> DataFrame:
+    """The inactive keys as text: ``part`` (from 1), ``members`` and ``inactive_list``, in the order of the names.
 
-    The list is one string, so it is only built after a count shows that it is short; otherwise an error
-    points to :func:`inactive_members`, which holds the same keys as rows.
+    A part names ``members`` keys, the last one the rest, so no cell grows with the data; no inactive key, no row.
     """
+    gone = settled(inactive_members(df, key, date, days, as_of).where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_name")))
+    placed = running(gone, [], ["_name"], {"_place": F.lit(1)})
+    part = F.floor((F.col("_place") - 1) / members).cast("long") + 1
+    return placed.groupBy(part.alias("part")).agg(
+        F.count("*").alias("members"), F.concat_ws(", ", F.sort_array(F.collect_list("_name"))).alias("inactive_list"))
+
+
+def inactive_summary(df: DataFrame, key: str, date: str, days: int = 90, as_of="max") -> DataFrame:
+    """Keys tracked, keys inactive for more than ``days`` days and their per cent; :func:`inactive_list` names them."""
     seen = last_activity(df, key, date, as_of)
     gone = F.col("days_since") > days
     measures = [
         F.count(key).alias("tracked"), F.count_if(gone & F.col(key).isNotNull()).alias("inactive"),
         pct(F.count_if(gone & F.col(key).isNotNull()), F.count(key)).alias("inactive_pct"),
     ]
-    if with_list:
-        seen = settled(seen)
-        if seen.where(gone).count() > LIST_MEMBERS:
-            raise ValueError(f"more than {LIST_MEMBERS} inactive keys: read them from inactive_members()")
-        names = F.sort_array(F.collect_list(F.when(gone, F.col(key).cast("string"))))
-        measures.append(F.concat_ws(", ", names).alias("inactive_list"))
     return seen.agg(*measures)
 
 
@@ -89,13 +89,14 @@ def latest_periods(df: DataFrame, period: str, n: int = 2) -> DataFrame:
 def _two_periods(df: DataFrame, key: str, period: str) -> DataFrame:
     """Per key of the two latest periods: was it there now, was it there before.
 
-    Both periods come from one list of distinct periods, which the two subqueries share.
+    Both periods come from one list of distinct periods, which the two subqueries share.  Rows without a key are left
+    out: they are no member, and so neither new nor retained nor lost.
     """
     known = df.select(period).distinct()
     current = known.agg(F.max(period)).scalar()
     previous = known.agg(F.max(F.when(F.col(period) < current, F.col(period)))).scalar()
     return (
-        df.where((F.col(period) == current) | (F.col(period) == previous)).groupBy(key)
+        df.where(F.col(key).isNotNull() & ((F.col(period) == current) | (F.col(period) == previous))).groupBy(key)
         .agg(F.bool_or(F.col(period) == current).alias("now"), F.bool_or(F.col(period) != current).alias("before"))
     )
 
@@ -147,19 +148,17 @@ def churn_label(df: DataFrame, key: str, date: str, as_of, days: int = 90, **sca
     return attach(df, last, key, "_rows", **scale)
 
 
-def churn_rate(labelled: DataFrame, key: str | None = None) -> DataFrame:
-    """Per cent churned: of the customers when ``key`` is given, else of the rows."""
-    if key:
-        labelled = labelled.groupBy(key).agg(F.max("churn").alias("churn"))
+def churn_rate(labelled: DataFrame) -> DataFrame:
+    """Per cent churned of the rows: customers with :func:`customer_features`, orders with :func:`churn_label`."""
     return labelled.agg(rate(F.col("churn") == 1).alias("churn_rate_pct"))
 
 
-def customer_features(labelled: DataFrame, key: str, order_id: str, amount: str) -> DataFrame:
-    """Frequency, spend, average order, recency and churn flag per customer."""
-    return labelled.groupBy(key).agg(
-        F.count(order_id).alias("frequency"), F.sum(amount).alias("total_spend"),
-        mean(amount).alias("avg_order_value"), F.max("days_since").alias("recency_days"),
-        F.max("churn").alias("churn"))
+def customer_features(df: DataFrame, key: str, date: str, order_id: str, amount: str, as_of, days: int = 90) -> DataFrame:
+    """Frequency, spend, average order, recency and churn flag per customer, in one aggregate of the orders."""
+    last = df.groupBy(key).agg(
+        F.count(order_id).alias("frequency"), F.sum(amount).alias("total_spend"), mean(amount).alias("avg_order_value"),
+        F.date_diff(_today(df, date, as_of), F.max(date)).alias("recency_days"))
+    return last.withColumn("churn", F.when(F.col("recency_days") > days, 1).otherwise(0))
 
 
 def high_risk(features: DataFrame, days: int = 90, orders: int = 3) -> DataFrame:

@@ -40,11 +40,14 @@ def cohort_months(
     df: DataFrame, key: str, date: str, amount: str | None = None, cohort_date: str | None = None,
     base: int = 0, mode: str = "calendar",
 ) -> DataFrame:
-    """One row per key and active month: ``cohort_month``, ``cohort_index``, ``rows`` and ``revenue``."""
+    """One row per key and active month: ``cohort_month``, ``cohort_index``, ``rows`` and ``revenue``.
+
+    Rows without a key are left out: they belong to no member.
+    """
     measures = [F.count("*").alias("rows"), F.min(cohort_date or date).alias("_first")]
     if amount:
         measures.append(F.sum(amount).alias("revenue"))
-    monthly = df.groupBy(key, month_start(date).alias("activity_month")).agg(*measures)
+    monthly = df.where(F.col(key).isNotNull()).groupBy(key, month_start(date).alias("activity_month")).agg(*measures)
     first = F.min("_first").over(Window.partitionBy(key))
     return (
         monthly.withColumn("cohort_month", month_start(first)).drop("_first")

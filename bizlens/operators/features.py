@@ -69,7 +69,7 @@ def standardize(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFr
 
 def assemble(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
     """Feature vector and numeric label, with the key columns kept."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
     return vectors.select(*keep, "features", F.col(label).cast("double").alias("label"))
 
 

@@ -52,7 +52,13 @@ def with_group_value(df: DataFrame, key: str, value: Column, name: str, **scale)
 
     An aggregate and a join: a window over the key would bring all rows of a key into one task.
     """
-    return attach(df, df.groupBy(key).agg(value.alias(name), F.count("*").alias("_rows")), key, "_rows", **scale)
+    return with_group_values(df, key, {name: value}, **scale)
+
+
+def with_group_values(df: DataFrame, key: str, values: dict[str, Column], **scale) -> DataFrame:
+    """Every row with several aggregates of its key's rows, from one grouping."""
+    grouped = df.groupBy(key).agg(*[v.alias(name) for name, v in values.items()], F.count("*").alias("_rows"))
+    return attach(df, grouped, key, "_rows", **scale)
 
 
 def denormalize(

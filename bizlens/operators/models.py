@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 
 def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return Pipeline(stages=[vectors, estimator]).fit(train)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from bizlens.functions import recency_bucket
@@ -185,12 +187,11 @@ def _(t):
     return cohort.cohort_churn(t.ord, "customer_id", "order_date")
 
 
-@report("segment_cohort_matrix", "C10 A19 J4", "priority:s cohort_month:s m0_transactions:i m5_transactions:i m11_transactions:i", """
+@report("segment_cohort_matrix", "C10 A19 J4", "priority:s cohort_month:s " + " ".join(f"m{i}_transactions:i" for i in range(12)), f"""
     WITH a AS (SELECT priority, date_trunc('month', order_date)::DATE AS m, count(*) AS n FROM ord GROUP BY ALL),
     c AS (SELECT priority, min(m) AS cohort_month FROM a GROUP BY 1)
-    SELECT a.priority, cohort_month, sum(CASE WHEN date_diff('month', cohort_month, m) = 0 THEN n ELSE 0 END) AS m0_transactions,
-      sum(CASE WHEN date_diff('month', cohort_month, m) = 5 THEN n ELSE 0 END) AS m5_transactions,
-      sum(CASE WHEN date_diff('month', cohort_month, m) = 11 THEN n ELSE 0 END) AS m11_transactions
+    SELECT a.priority, cohort_month, {', '.join(
+        f"sum(CASE WHEN date_diff('month', cohort_month, m) = {i} THEN n ELSE 0 END) AS m{i}_transactions" for i in range(12))}
     FROM a JOIN c ON a.priority = c.priority GROUP BY ALL""")
 def _(t):
     return cohort.cohort_matrix(t.ord, "priority", "order_date", 12)
@@ -203,7 +204,56 @@ def _(t):
     return cohort.cohort_activity(t.ord, "customer_id", "order_date", "amount")
 
 
-@report("nth_purchase_date", "W4 W5 C12", "customer_id:i order_date:s", """
+def without_some_keys(df):
+    """Every seventh order without its customer."""
+    return df.withColumn("customer_id", F.when(F.col("order_id") % 7 != 0, F.col("customer_id")))
+
+
+def unkeyed(sql):
+    """The same in SQL: orders come from a view in which every seventh has no customer."""
+    view = "(SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN customer_id END AS customer_id) FROM ord)"
+    return f"WITH unkeyed AS {view} " + re.sub(r"\bord\b", "unkeyed", sql)
+
+
+@report("cohort_counts_null_keys", "C2", "cohort_month:s cohort_index:i active:i", unkeyed(
+    f"SELECT cohort_month, idx AS cohort_index, count(DISTINCT customer_id) AS active FROM ({COHORT}) x GROUP BY ALL"))
+def _(t):
+    return cohort.cohort_counts(cohort.cohort_months(without_some_keys(t.ord), "customer_id", "order_date"))
+
+
+@report("cohort_retention_null_keys", "C3", "cohort_month:s cohort_index:i active:i cohort_size:i retention_pct:f2", unkeyed(RETENTION))
+def _(t):
+    return cohort.cohort_retention(without_some_keys(t.ord), "customer_id", "order_date", size="first")
+
+
+@report("cohort_revenue_null_keys", "C5", "cohort_month:s cohort_index:i revenue:f", unkeyed(
+    f"SELECT cohort_month, idx AS cohort_index, sum(revenue) AS revenue FROM ({COHORT}) x GROUP BY ALL"))
+def _(t):
+    return cohort.cohort_revenue(cohort.cohort_months(without_some_keys(t.ord), "customer_id", "order_date", "amount"))
+
+
+@report("cohort_activity_null_keys", "C11", "cohort_month:s activity_month:s active:i revenue:f", unkeyed(
+    f"SELECT cohort_month, activity_month, count(DISTINCT customer_id) AS active, sum(revenue) AS revenue FROM ({COHORT}) x GROUP BY ALL"))
+def _(t):
+    return cohort.cohort_activity(without_some_keys(t.ord), "customer_id", "order_date", "amount")
+
+
+QUARTERS = """q AS (SELECT customer_id, concat(year(order_date), '-', quarter(order_date)) AS quarter FROM ord WHERE customer_id IS NOT NULL),
+    cur AS (SELECT DISTINCT customer_id FROM q WHERE quarter = '2001-3'), prev AS (SELECT DISTINCT customer_id FROM q WHERE quarter = '2001-2')"""
+
+
+@report("member_moves_null_keys", "J5 J6 C9", "move:s customer_id:i", unkeyed(f"""SELECT * FROM (WITH {QUARTERS}
+    SELECT 'new' AS move, customer_id FROM cur WHERE customer_id NOT IN (FROM prev)
+    UNION ALL SELECT 'lost', customer_id FROM prev WHERE customer_id NOT IN (FROM cur)
+    UNION ALL SELECT 'retained', customer_id FROM prev WHERE customer_id IN (FROM cur)) x"""))
+def _(t):
+    orders = without_some_keys(t.ord).withColumn("quarter", F.concat_ws("-", F.year("order_date"), F.quarter("order_date")))
+    moves = {"new": churn.new_members, "lost": churn.lost_members, "retained": churn.retained_members}
+    found = [f(orders, "customer_id", "quarter").withColumn("move", F.lit(name)) for name, f in moves.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@report("nth_purchase_date", "W5 C12", "customer_id:i order_date:s", """
     SELECT customer_id, order_date FROM (SELECT customer_id, order_date,
       row_number() OVER (PARTITION BY customer_id ORDER BY order_date) AS rn
       FROM (SELECT DISTINCT customer_id, order_date FROM ord) d) r WHERE rn = 3""")
@@ -231,14 +281,22 @@ def _(t):
     return churn.inactive_summary(t.ord, "customer_id", "order_date")
 
 
-@report("inactive_suppliers", "C6 A18", "tracked:i inactive:i inactive_list:s", """
-    SELECT count(*) AS tracked, count(*) FILTER (WHERE gone) AS inactive,
-      coalesce(string_agg(CASE WHEN gone THEN product END, ', ' ORDER BY product), '') AS inactive_list
-    FROM (SELECT concat(status, line_status) AS product,
-      date_diff('day', max(ship_date), DATE '2001-12-01') > 20 AS gone FROM line GROUP BY 1) x""")
+@report("inactive_customer_list", "C6 A18", "part:i members:i inactive_list:s", """
+    SELECT part, count(*) AS members, string_agg(name, ', ' ORDER BY name) AS inactive_list
+    FROM (SELECT name, (row_number() OVER (ORDER BY name) - 1) // 100 + 1 AS part FROM (
+      SELECT CAST(customer_id AS VARCHAR) AS name FROM ord GROUP BY customer_id
+      HAVING date_diff('day', max(order_date), (SELECT max(order_date) FROM ord)) > 90) x) y GROUP BY 1""")
+def _(t):
+    return churn.inactive_list(t.ord, "customer_id", "order_date", members=100)
+
+
+@report("inactive_suppliers", "C6 A18", "part:i members:i inactive_list:s", """
+    SELECT part, count(*) AS members, string_agg(name, ', ' ORDER BY name) AS inactive_list
+    FROM (SELECT name, (row_number() OVER (ORDER BY name) - 1) // 1000 + 1 AS part FROM (
+      SELECT CAST(supplier_id AS VARCHAR) AS name FROM line GROUP BY supplier_id
+      HAVING date_diff('day', max(ship_date), DATE '2001-12-01') > 20) x) y GROUP BY 1""")
 def _(t):
-    kinds = t.line.withColumn("product", F.concat("status", "line_status"))
-    return churn.inactive_summary(kinds, "product", "ship_date", 20, "2001-12-01", with_list=True)
+    return churn.inactive_list(t.line, "supplier_id", "ship_date", 20, "2001-12-01")
 
 
 @report("inactive_members", "C6", "customer_id:i last_date:s days_since:i", """
@@ -328,7 +386,7 @@ def _(t):
 @report("churn_rate_customers", "C13", "churn_rate_pct:f2",
         f"SELECT 1e2 * count(*) FILTER (WHERE days_since > 90) / count(*) AS churn_rate_pct FROM ({LAST}) l")
 def _(t):
-    return churn.churn_rate(labelled(t), "customer_id")
+    return churn.churn_rate(features(t))
 
 
 @report("churn_rate_orders", "C13", "churn_rate_pct:f2", f"""
@@ -345,7 +403,7 @@ FEATURES = f"""SELECT ord.customer_id, count(*) AS frequency, sum(amount) AS tot
 
 
 def features(t):
-    return churn.customer_features(labelled(t), "customer_id", "order_id", "amount")
+    return churn.customer_features(t.ord, "customer_id", "order_date", "order_id", "amount", "2001-08-01", 90)
 
 
 @report("customer_features", "C14 A22",

@@ -101,10 +101,15 @@ def _(t):
 
 
 @report("orphan_parts", "J11", "product_id:i supplier_id:i", """
-    SELECT DISTINCT product_id, supplier_id FROM line WHERE product_id NOT IN (SELECT part_id FROM prod WHERE size > 10)""")
+    SELECT DISTINCT product_id, supplier_id FROM line WHERE product_id NOT IN (SELECT part_id FROM prod)""")
 def _(t):
-    kept = t.prod.where(F.col("size") > 10)
-    return summary.distinct_keys(quality.orphans(t.line, kept, "product_id", "part_id"), "product_id", "supplier_id")
+    return summary.distinct_keys(quality.orphans(t.line, t.prod, "product_id", "part_id"), "product_id", "supplier_id")
+
+
+@report("customers_without_orders", "J11", "cust_id:i nation_id:i", """
+    SELECT cust_id, nation_id FROM cust WHERE cust_id NOT IN (SELECT customer_id FROM ord WHERE customer_id IS NOT NULL)""")
+def _(t):
+    return quality.orphans(t.cust, t.ord, "cust_id", "customer_id")
 
 
 @report("filtered_range", "P9", "order_id:i order_date:s amount:f priority:s", """

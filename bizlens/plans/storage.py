@@ -66,7 +66,7 @@ def _(t):
     return sinks.register_view(daily, "vw_daily_revenue")
 
 
-@report("saved_segment_table", "S7 R3", "segment:s n:i", """
+@report("saved_segment_table", "S7", "segment:s n:i", """
     SELECT status AS segment, count(*) AS n FROM line GROUP BY 1""")
 def _(t):
     counted = summary.summarize(t.line, [F.col("status").alias("segment")], {"n": F.count("*")})
@@ -84,25 +84,28 @@ def _(t):
 
 
 @report("stored_churn_report", "S8 C9", "report_month:s total_customers:i new_customers:i retained_customers:i churned_customers:i", """
-    WITH q AS (SELECT DISTINCT customer_id, year(order_date) AS y FROM ord WHERE year(order_date) <= 2000)
+    WITH q AS (SELECT DISTINCT customer_id, year(order_date) AS y FROM ord WHERE order_date IS NOT NULL)
     SELECT CAST(p.y AS VARCHAR) AS report_month, (SELECT count(*) FROM q WHERE q.y = p.y) AS total_customers,
       (SELECT count(*) FROM q WHERE q.y = p.y AND customer_id NOT IN (SELECT customer_id FROM q r WHERE r.y = p.y - 1)) AS new_customers,
       (SELECT count(*) FROM q WHERE q.y = p.y AND customer_id IN (SELECT customer_id FROM q r WHERE r.y = p.y - 1)) AS retained_customers,
       (SELECT count(*) FROM q WHERE q.y = p.y - 1 AND customer_id NOT IN (SELECT customer_id FROM q r WHERE r.y = p.y)) AS churned_customers
-    FROM (SELECT unnest([1999, 2000]) AS y) p""")
+    FROM (SELECT DISTINCT y FROM q) p""")
 def _(t):
     yearly = t.ord.withColumn("year", F.year("order_date").cast("string"))
     path = scratch_path(t.spark, "churn-report")
     stored = None
-    for last in ("1999", "2000", "2000"):
+    years = [r.year for r in yearly.select("year").where("year IS NOT NULL").distinct().orderBy("year").collect()]
+    for last in [*years, *years[-1:]]:
         until = yearly.where(F.col("year") <= last)
         stored = churn.run_retention_churn_report(until, "customer_id", "year", path, "2025-01-01 00:00:00")
     return stored
 
 
-@report("staged_key_sets", "S9 A26", "customers:i",
-        "SELECT count(DISTINCT customer_id) AS customers FROM ord WHERE order_date >= DATE '2001-01-01'")
+@report("staged_key_sets", "S9 A26", "billing_month:s customers:i",
+        """SELECT billing_month, count(DISTINCT customer_id) AS customers FROM bill
+    WHERE billing_month IN (SELECT DISTINCT billing_month FROM bill ORDER BY 1 DESC LIMIT 2) GROUP BY 1""")
 def _(t):
-    recent = t.ord.where(F.col("order_date") >= F.lit("2001-01-01").cast("date"))
-    staged = sinks.stage(summary.distinct_keys(recent, "customer_id"), "bizlens_recent_customers")
-    return summary.kpis(staged, {"customers": F.count("*")})
+    latest = churn.latest_periods(t.bill, "billing_month")
+    keys = summary.distinct_keys(t.bill.join(latest, "billing_month", "left_semi"), "billing_month", "customer_id")
+    staged = sinks.stage(keys, "bizlens_month_customers")
+    return summary.summarize(staged, ["billing_month"], {"customers": F.count("*")})

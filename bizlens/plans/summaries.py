@@ -283,8 +283,7 @@ def _(t):
     SELECT order_id, sum(amount) OVER (PARTITION BY customer_id) AS customer_total,
       min(order_date) OVER (PARTITION BY customer_id) AS first_order FROM ord""")
 def _(t):
-    totalled = joins.with_group_value(t.ord, "customer_id", F.sum("amount"), "customer_total")
-    return joins.with_group_value(totalled, "customer_id", F.min("order_date"), "first_order")
+    return joins.with_group_values(t.ord, "customer_id", {"customer_total": F.sum("amount"), "first_order": F.min("order_date")})
 
 
 @report("customers_and_suppliers_by_nation", "J3 J4", "nation_id:i customers:i suppliers:i", """

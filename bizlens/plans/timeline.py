@@ -171,9 +171,10 @@ def _(t):
 
 
 @report("stacked_tickers", "A12", "ticker:s days:i low:f high:f", """
-    SELECT ticker, count(*) AS days, min(low) AS low, max(high) AS high FROM bar WHERE ticker IN ('1-URGENT', '2-HIGH') GROUP BY 1""")
+    SELECT ticker, count(*) AS days, min(low) AS low, max(high) AS high FROM bar GROUP BY 1""")
 def _(t):
-    parts = {name: t.bar.where(F.col("ticker") == name).drop("ticker") for name in ("1-URGENT", "2-HIGH")}
+    names = [r.ticker for r in summary.distinct_keys(t.bar, "ticker").collect()]
+    parts = {name: t.bar.where(F.col("ticker") == name).drop("ticker") for name in names}
     return summary.summarize(prices.stack_tickers(parts), ["ticker"], {
         "days": F.count("*"), "low": F.min("low"), "high": F.max("high")})
 

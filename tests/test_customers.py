@@ -121,18 +121,30 @@ def test_a_rerun_replaces_its_month(spark, tmp_path):
     assert sorted(r.report_month for r in stored.collect()) == ["2024-01", "2024-02"]
 
 
-def test_inactive_list_is_checked(spark, shop, monkeypatch):
-    row = churn.inactive_summary(shop, "c", "d", 40, "2024-03-31", with_list=True).first()
-    assert (row.tracked, row.inactive, row.inactive_list) == (3, 1, "y")
-    monkeypatch.setattr(churn, "LIST_MEMBERS", 0)
-    with pytest.raises(ValueError):
-        churn.inactive_summary(shop, "c", "d", 40, "2024-03-31", with_list=True)
+def test_inactive_list_at_any_size(spark, shop):
+    row = churn.inactive_summary(shop, "c", "d", 40, "2024-03-31").first()
+    assert (row.tracked, row.inactive) == (3, 1)
+    assert [tuple(r) for r in churn.inactive_list(shop, "c", "d", 40, "2024-03-31").collect()] == [(1, 1, "y")]
+    many = spark.range(10_001).selectExpr("format_string('k%05d', id) AS c", "DATE '2024-01-01' AS d")
+    parts = sorted(churn.inactive_list(many, "c", "d", 40, "2024-03-31").collect())
+    assert [(r.part, r.members) for r in parts] == [(i, 1000) for i in range(1, 11)] + [(11, 1)]
+    assert ", ".join(r.inactive_list for r in parts) == ", ".join(f"k{i:05d}" for i in range(10_001))
+
+
+def test_rows_without_a_key_are_no_member(spark):
+    bills = spark.createDataFrame([(None, "2024-01"), ("a", "2024-01"), (None, "2024-02"), ("b", "2024-02")], "c string, m string")
+    row = churn.retention_churn_report(bills, "c", "m").first()
+    assert (row.total_customers, row.new_customers, row.retained_customers, row.churned_customers) == (1, 1, 0, 1)
+    assert churn.retained_members(bills, "c", "m").count() == 0
+    kept = cohort.cohort_retention(bills.withColumn("d", F.to_date(F.concat("m", F.lit("-01")))), "c", "d")
+    assert {(str(r.cohort_month), r.active) for r in kept.collect()} == {("2024-01-01", 1), ("2024-02-01", 1)}
 
 
 def test_churn_of_customers_and_of_rows(shop):
     labelled = churn.churn_label(shop, "c", "d", "2024-03-31", 50)
     assert labelled.count() == 7
-    assert churn.churn_rate(labelled, "c").first()[0] == 33.33
+    features = churn.customer_features(shop, "c", "d", "o", "a", "2024-03-31", 50)
+    assert churn.churn_rate(features).first()[0] == 33.33
     assert churn.churn_rate(labelled).first()[0] == 28.57
 
 

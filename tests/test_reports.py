@@ -15,7 +15,7 @@ TABLES = (
 #: Reports that may be empty on the smallest tables.
 MAY_BE_EMPTY = {"retained_members", "suppliers_by_product_baskets", "frequent_products", "zscore_outliers",
                 "high_risk_customers", "product_price_points", "revenue_anomalies", "large_orders", "orphan_parts",
-                "prices_on_day"}
+                "prices_on_day", "customers_without_orders", "inactive_suppliers"}
 #: Long model fits; checked for rows only.
 SLOW = {"forest_report", "forest_importance", "forest_forecast_errors", "logistic_report"}
 
