@@ -10,8 +10,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.operators.joins import attach
-from bizlens.operators.scale import exact_quantiles, series_columns, settled
+from bizlens.operators.joins import attach, with_group_value
+from bizlens.operators.scale import exact_quantiles, running, series_columns, settled
 
 #: Minority rows whose neighbours one task searches.
 CELL_ROWS = 4_000
@@ -78,20 +78,15 @@ def stratified_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows with the same share of every class.
 
-    A row goes to the test set when the hash of its key is among the lowest share of its class.  The limit
-    per class is an exact quantile, so the split does not depend on the partitioning.
+    Rows are ranked in their class by a hash of the key; the first ``ceil(test * (rows - 1))`` are the test rows, for
+    any number of classes (a null label is one).  Equal keys are ordered by their other columns, so the split does not
+    depend on the partitioning.
     """
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(2**52))
-    classes = [r[0] for r in df.select(label).distinct().limit(1_001).collect()]
-    if len(classes) > 1_000:
-        raise ValueError("stratified_split is for labels with at most 1000 classes")
-    columns = {f"c{i}": F.when(F.col(label).eqNullSafe(F.lit(c)), draw) for i, c in enumerate(classes)}
-    limits = exact_quantiles(df, columns, (test,))
-    limit = F.lit(None).cast("double")
-    for i, c in enumerate(classes):
-        limit = F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(limits[f"c{i}"][0])).otherwise(limit)
-    chosen = draw.cast("double") < limit
-    return df.where(~chosen), df.where(chosen)
+    draw = F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("a"), F.xxhash64(*df.columns).alias("b"))
+    sized = with_group_value(df.withColumn("_draw", draw), label, F.count("*"), "_size")
+    placed = settled(running(sized, [label], ["_draw"], {"_place": F.lit(1)}))
+    chosen = F.col("_place") - 1 < F.lit(test) * (F.col("_size") - 1)
+    return tuple(placed.where(part).drop("_draw", "_size", "_place") for part in (~chosen, chosen))
 
 
 def time_split(df: DataFrame, date: str, test: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -137,17 +132,21 @@ def _cells(points: DataFrame, features: Sequence[str], key: str, cell_rows: int)
 
 
 def smote(
-    train: DataFrame, features: Sequence[str], label: str, key: str, minority=1, k: int = 5, seed: int = 42,
+    train: DataFrame, features: Sequence[str], label: str, key: str, minority=None, k: int = 5, seed: int = 42,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Adds synthetic minority rows until both classes have the same size.
 
+    ``minority`` is the label of the smaller class, by default found by counting.
     A synthetic row lies on the line between a minority row and one of its ``k`` nearest minority rows.
     Python only finds the neighbours, cell by cell; the copies are made as column expressions, from hashes
     of the key, so a repeated task makes the same rows.
     Up to ``cell_rows`` minority rows the neighbours are exact; beyond, they are the nearest within the
     row's cell.  Synthetic rows have a null key.
     """
+    if minority is None:
+        smallest = train.where(F.col(label).isNotNull()).groupBy(label).count().orderBy("count", F.desc(label)).first()
+        minority = smallest[label] if smallest else 1
     sizes = train.agg(F.count_if(F.col(label) == minority).alias("few"), F.count(label).alias("all")).first()
     wanted = sizes["all"] - 2 * sizes["few"]
     if wanted <= 0 or sizes["few"] < 2:

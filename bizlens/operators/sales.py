@@ -51,6 +51,28 @@ def lead_time_summary(df: DataFrame, by: Sequence[str | Column], start: str, end
     return df.groupBy(*by).agg(mean(days).alias("avg_days"), F.sum(days).alias("total_days"))
 
 
+def lead_time_via(lines: DataFrame, orders: DataFrame, order_id: str, by: Column, start: str, end: str) -> DataFrame:
+    """Mean and total days when the start is a column of the order, by an expression on the order.
+
+    The ends of an order's lines are summed as day numbers before the join.
+    """
+    day = F.unix_date(end)
+    sums = lines.groupBy(order_id).agg(F.sum(day).alias("_ends"), F.count(end).alias("_lines"))
+    joined = sums.join(orders, order_id).where(F.col(start).isNotNull())
+    days = F.sum(F.col("_ends") - F.col("_lines") * F.unix_date(start))
+    return joined.groupBy(by).agg((days / F.sum("_lines")).alias("avg_days"), days.alias("total_days"))
+
+
+def late_summary_via(lines: DataFrame, orders: DataFrame, order_id: str, start: str, end: str, days: int = 5) -> DataFrame:
+    """:func:`late_summary` when the start is a column of the order: an order's first and last end tell whether it has
+    late lines and lines on time, so one row per order is joined."""
+    ends = lines.groupBy(order_id).agg(F.min(end).alias("_first"), F.max(end).alias("_last"), F.bool_or(F.isnull(end)).alias("_open"))
+    known = F.array("_first", "_last")
+    either = F.when(F.col("_open"), F.concat(known, F.array(F.lit(None).cast("date")))).otherwise(known)
+    rows = ends.join(orders.select(order_id, start), order_id)
+    return late_summary(rows.select(order_id, start, F.explode(F.array_distinct(either)).alias(end)), start, end, order_id, days)
+
+
 def late_summary(df: DataFrame, start: str, end: str, order_id: str, days: int = 5) -> DataFrame:
     """Distinct orders delivered late and on time."""
     flagged = late_flag(df, start, end, days)

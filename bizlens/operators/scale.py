@@ -132,10 +132,15 @@ def order_statistics(
             condition &= F.col(b.key) <= _literal(b.high, types[b.key])
         return condition
 
-    for attempt in range(40):
+    attempt, idle, left = 0, 0, None
+    while True:
         wide = [b for b in brackets if b.answer is None and b.inside > bracket_rows]
         if not wide:
             break
+        attempt, before, left = attempt + 1, left, sum(b.inside for b in wide)
+        idle = idle + 1 if left == before else 0
+        if idle > 10:
+            raise RuntimeError(f"no bracket of {len(wide)} became narrower in {idle} rounds")
         samples = work.withColumn("_draw", F.rand(attempt)).agg(*[
             F.sort_array(F.collect_list(F.when(
                 within(b) & (F.col("_draw") < sample_rows / b.inside), F.col(b.key)))).alias(f"s{i}")
@@ -275,7 +280,7 @@ def running(
         return df.withColumns({name: F.sum(value).over(window) for name, value in values.items()})
     spark = df.sparkSession
     checkpoint_folder(spark)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // GROUP_ROWS))
     inputs = {f"_value_{name}": value for name, value in values.items()}
     spread = (
         df.withColumns(inputs).repartitionByRange(slices, *keys, *order)

@@ -25,7 +25,7 @@ def per_order(t, **sums):
 
 @report("profit_overall", "D1 A1", "revenue:f cost:f gross_profit:f margin_pct:f2", f"SELECT {PROFIT} FROM {COSTED}")
 def _(t):
-    return sales.profit_measures(costed(t), "qty", "unit_price", "unit_cost")
+    return sales.profit_via(t.line, t.prod, "product_id", "part_id", "qty", "unit_price", "unit_cost")
 
 
 @report("profit_by_category", "D1 D2", "category:s revenue:f cost:f gross_profit:f margin_pct:f2",
@@ -64,7 +64,8 @@ def _(t):
 @report("orders_by_supplier_and_channel", "D4", "supplier_id:i priority:s distinct_count:i", """
     SELECT supplier_id, priority, count(DISTINCT order_id) AS distinct_count FROM sale GROUP BY ALL""")
 def _(t):
-    return summary.crosstab_distinct(t.sale, "supplier_id", "priority", "order_id")
+    pairs = summary.distinct_keys(t.line, "supplier_id", "order_id").join(t.ord.select("order_id", "priority"), "order_id")
+    return summary.crosstab_distinct(pairs, "supplier_id", "priority", "order_id")
 
 
 @report("lead_time_by_supplier", "D5 P24", "supplier_id:i avg_days:f6 total_days:i", """
@@ -77,14 +78,14 @@ def _(t):
 @report("lead_time_by_month", "D5", "month:i total_days:i", """
     SELECT month(order_date) AS month, sum(date_diff('day', order_date, ship_date)) AS total_days FROM sale GROUP BY 1""")
 def _(t):
-    return sales.lead_time_summary(t.sale, [F.month("order_date").alias("month")], "order_date", "ship_date")
+    return sales.lead_time_via(t.line, t.ord, "order_id", F.month("order_date").alias("month"), "order_date", "ship_date")
 
 
 @report("late_orders", "D6 P23", "delivery:s orders:i", """
     SELECT CASE WHEN date_diff('day', order_date, ship_date) > 90 THEN 'Late' ELSE 'On Time' END AS delivery,
       count(DISTINCT order_id) AS orders FROM sale GROUP BY 1""")
 def _(t):
-    return sales.late_summary(t.sale, "order_date", "ship_date", "order_id", 90)
+    return sales.late_summary_via(t.line, t.ord, "order_id", "order_date", "ship_date", 90)
 
 
 @report("orders_by_channel", "D7 W7", "status:s value:i total:i share_pct:f2", """
