@@ -140,3 +140,18 @@ def test_empty_tables(spark):
     for frame in (bpe.encode(empty), token_counts.token_counts(empty), merkle.edit_likeness(empty), crf.score_quality(empty, None),
                   langid.identify(empty, [], []), rules.rule_quality(empty, empty.select("doc_id")), mix.mix_sources(empty, rules.F.lit(1))):
         assert frame.count() == 0
+
+
+def test_both_folds_of_merges_equal_the_library():
+    import random
+
+    import public_tokenizers as p
+    import tiktoken
+
+    merges, draw = bpe.merges_of(bpe.VOCABULARY), random.Random(5)
+    library = tiktoken.Encoding("own", pat_str=p.PATTERN, mergeable_ranks=merges.ranks, special_tokens={})
+    words = ["".join(draw.choices("abcdehtinorsé019", k=draw.randint(1, 300))).encode() for _ in range(300)] + [b"a" * 5000, b"ab", b"z"]
+    expected = [library._encode_single_piece(w) for w in words]
+    assert [x.tolist() for x in merges.encode(words)] == expected
+    assert all(merges.fold_long(w).tolist() == ids for w, ids in zip(words, expected) if w not in merges.ranks)
+    assert merges.encode([]) == []
