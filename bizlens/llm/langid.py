@@ -1,7 +1,8 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of labelled text accepts every string that occurs in that text.  A text is parsed
-greedily into the longest phrases that the automaton accepts; the language that needs the fewest phrases per byte wins.
+greedily into the longest phrases that the automaton accepts; the language that needs the fewest bits wins.  A phrase costs the
+bits that name its place in the sample or, failing that, a byte, so samples need not be equally long.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 
 from bizlens.llm.text import LOWER, steps
 
-#: Bound of the fitted sample: documents per language, and bytes taken from each.
+#: Bound of the fitted sample: documents per language, and characters taken from each.
 SAMPLE_DOCS, SAMPLE_BYTES = 48, 500
 #: A text is parsed in stretches of this many bytes, side by side; a phrase also ends with its stretch.
 STRETCH = 1024
 LETTER = re.compile(r"[^\W\d_]")
+#: The first letter of a text and what follows, as far as the sample takes it.
+FROM_LETTER = rf"(?s)\p{{L}}.{{0,{SAMPLE_BYTES - 1}}}"
 #: Bytes as the parser sees them: lower-case letters and the bytes of other scripts; all else is a space.
 FOLD = np.full(256, 32, np.uint8)
 FOLD[97:123] = np.arange(97, 123)
@@ -76,6 +79,11 @@ def parser(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return symbols, table
 
 
+def phrase_bits(size: int) -> float:
+    """Bits of a phrase against a sample of ``size`` bytes: one of its places, or one of 256 bytes."""
+    return float(np.log2(size + 256))
+
+
 def phrases(data: np.ndarray, starts: np.ndarray, parsers: list) -> np.ndarray:
     """Phrases of each text (row) under each parser (column)."""
     lengths = np.diff(starts)
@@ -88,7 +96,7 @@ def phrases(data: np.ndarray, starts: np.ndarray, parsers: list) -> np.ndarray:
     active = np.searchsorted(-size, -np.arange(STRETCH), "left")
     result = np.zeros((len(lengths), len(parsers)), np.int64)
     folded = FOLD[data]
-    for k, (symbols, table) in enumerate(parsers):
+    for k, (symbols, table, *_) in enumerate(parsers):
         coded, flat, width = symbols[folded], table.ravel(), table.shape[1]
         state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
         for t in range(int(size[0]) if len(size) else 0):
@@ -101,31 +109,28 @@ def phrases(data: np.ndarray, starts: np.ndarray, parsers: list) -> np.ndarray:
 
 
 def fit_parsers(labelled: DataFrame, text_col: str, lang_col: str, order: Column) -> tuple[list[str], list]:
-    """Languages in order and a parser for each, from at most ``SAMPLE_DOCS`` documents per language.
+    """Languages in order and a parser with its bits per phrase for each, from at most ``SAMPLE_DOCS`` documents per language.
 
     Documents are dealt by ``order`` (a hash) to ``SAMPLE_DOCS`` cells; of each language and cell the one with the lowest
-    hash gives its first ``SAMPLE_BYTES`` characters.
+    hash gives ``SAMPLE_BYTES`` characters from its first letter.  Texts without a letter teach nothing, and a language of
+    such texts only is not learned.
     """
     cell = F.pmod(order, F.lit(SAMPLE_DOCS))
+    text = F.regexp_extract(F.col(text_col), FROM_LETTER, 0)
     sample = (
-        labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+        labelled.where(F.col(lang_col).isNotNull() & (text != ""))
         .groupBy(F.col(lang_col).alias("lang"), cell.alias("cell"))
-        .agg(F.min_by(F.substring(F.col(text_col), 1, SAMPLE_BYTES), F.struct(order, F.md5(text_col))).alias("text"))
+        .agg(F.min_by(text, F.struct(order, F.md5(text_col))).alias("text"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("cell", "text"))).alias("texts")).orderBy("lang").collect())
-    langs, parsers = [], []
-    size = min((sum(len(t.text.encode()) for t in row.texts) for row in sample), default=0)
-    for row in sample:
-        joined = " ".join(t.text for t in row.texts).encode()[:max(size, 1)]
-        langs.append(row.lang)
-        parsers.append(parser(FOLD[np.frombuffer(joined, np.uint8)].tobytes()))
-    return langs, parsers
+    texts = [" ".join(t.text for t in row.texts).encode() for row in sample]
+    return [row.lang for row in sample], [(*parser(FOLD[np.frombuffer(t, np.uint8)].tobytes()), phrase_bits(len(t))) for t in texts]
 
 
 def identify(docs: DataFrame, langs: list[str], parsers: list, text_col: str = "text", keep=("doc_id",)) -> DataFrame:
     """Columns ``keep`` with lang_pred and score, by the fitted parsers.
 
-    The score is the runner-up's phrases over those of both: 0.5 for a tie, near 1 for a sure answer, 1 with one
-    language.  Ties go to the first language by code point.  A null text, a text without a letter, or a text where no language was
+    A parser without bits per phrase costs one a phrase.  The score is the runner-up's bits over those of both: 0.5 for a
+    tie, near 1 for a sure answer, 1 with one language.  Ties go to the first language by code point.  A null text, a text without a letter, or a text where no language was
     learned is ``und`` with score 0.
     """
     spark = docs.sparkSession
@@ -133,16 +138,17 @@ def identify(docs: DataFrame, langs: list[str], parsers: list, text_col: str = "
     narrow = docs.select(*keep, F.col(text_col).alias("_text"))
     fields = [f for f in narrow.schema if f.name != "_text"]
     names = list(langs)
+    bits = np.array([p[2] if len(p) > 2 else 1.0 for p in parsers])
 
     def predict(batches):
         own = shared.value
         for batch, data, starts in steps(batches, "_text", 8_000_000):
-            counts = phrases(data, starts, own)
-            best = counts.argmin(1) if own else np.zeros(batch.num_rows, int)
+            cost = phrases(data, starts, own) * bits
+            best = cost.argmin(1) if own else np.zeros(batch.num_rows, int)
             raw = data.tobytes()
             lettered = [bool(own) and LETTER.search(raw[a:b].decode("utf-8", "replace")) is not None for a, b in zip(starts, starts[1:])]
             if len(own) > 1:
-                two = np.sort(counts, 1)[:, :2]
+                two = np.sort(cost, 1)[:, :2]
                 score = two[:, 1] / np.maximum(two.sum(1), 1)
             else:
                 score = np.ones(batch.num_rows)
