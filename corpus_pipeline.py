@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.llm import bpe, crf, jaccard, mix, substrings
-from bizlens.llm.meet import settle
+from bizlens.llm.meet import order_id, settle
 from bizlens.llm.queries import HELD_OUT
 from bizlens.llm.text import WORD
 
@@ -33,10 +33,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows with the same id one stays."""
-    found = jaccard.near_duplicates(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_component"))
-    stays = found.where(F.col("_id").eqNullSafe(F.col("_component"))).select("_id").distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    """Of equal or near texts the row with the smallest id (null last) stays; of rows with equal id and text one.
+
+    Each different pair of id and text is a document of its own, so different texts of an id, or without id, all stay.
+    """
+    node = F.xxhash64(F.col("doc_id").isNull(), order_id("doc_id"), F.col("text").isNull(), F.coalesce("text", F.lit("")))
+    rows = settle(docs.withColumn("_node", node).dropDuplicates(["_node"]), "nodes")
+    found = jaccard.linked_components(rows.select(F.col("_node").alias("id"), "text")).withColumnRenamed("id", "_node")
+    first = rows.select("_node", order_id("doc_id").alias("_id")).join(found, "_node").groupBy("component").agg(
+        F.min(F.struct("_id", "_node")).alias("first"))
+    gone = found.join(first.select(F.col("first._node").alias("_node")), "_node", "left_anti")
+    return rows.join(gone, "_node", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
