@@ -131,6 +131,81 @@ def _cells(points: DataFrame, features: Sequence[str], key: str, cell_rows: int)
     return points
 
 
+def _nearest(points: np.ndarray, of: np.ndarray, k: int, own: bool) -> list[list[tuple[float, list[float]]]]:
+    """For each row of ``of`` the ``k`` nearest points with squared distances, equal distances by coordinates.
+
+    Squares are summed feature by feature, so a distance does not depend on the rows beside it.  With ``own``, ``of`` are the
+    points themselves and a row is not its own neighbour.
+    """
+    order = np.lexsort(points.T[::-1])
+    ranked = points[order]
+    place = np.argsort(order)
+    reach = min(k, len(points) - own)
+    near = []
+    for start in range(0, len(of), 512):
+        block = of[start:start + 512]
+        gaps = np.zeros((len(block), len(ranked)))
+        for i in range(points.shape[1]):
+            gaps += (block[:, i, None] - ranked[None, :, i]) ** 2
+        if own:
+            gaps[np.arange(len(block)), place[start:start + len(block)]] = np.inf
+        best = np.argsort(gaps, axis=1, kind="stable")[:, :reach]
+        near += [[(float(row[j]), ranked[j].tolist()) for j in js] for row, js in zip(gaps, best)]
+    return near
+
+
+def _neighbours(celled: DataFrame, names: list[str], k: int) -> DataFrame:
+    """(_key, _copies, _point, _near) of all rows of ``celled``: their ``k`` nearest other rows, whatever the cells.
+
+    Each row finds the nearest of its cell.  It is then compared with the rows of each cell whose box lies no farther than its
+    k-th distance, and the nearest of all stay.  A task holds the rows of two cells.
+    """
+    near = "_near array<struct<d:double,p:array<double>>>"
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_key", *names], kind="stable")
+        points = pdf[names].to_numpy(float)
+        return pd.DataFrame({"_cell": pdf["_cell"].to_numpy(), "_place": np.arange(len(pdf)), "_key": pdf["_key"].to_numpy(),
+                             "_copies": pdf["_copies"].to_numpy(), "_point": points.tolist(), "_near": _nearest(points, points, k, True)})
+
+    found = celled.groupBy("_cell").applyInPandas(inside, f"_cell long, _place long, _key string, _copies long, _point array<double>, {near}")
+    boxes = celled.groupBy("_cell").agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(names) for n, f in (("l", F.min), ("h", F.max))]).collect()
+    if len(boxes) > 1:
+        found = settled(found)
+        width = len(names)
+        cells = [b["_cell"] for b in boxes]
+        low, high = (np.array([[b[f"{n}{i}"] for i in range(width)] for b in boxes]) for n in "lh")
+
+        def visit(batches):
+            for pdf in batches:
+                points = np.array(pdf["_point"].tolist(), float).reshape(-1, width)
+                reach = np.array([n[-1]["d"] if len(n) == k else np.inf for n in pdf["_near"]])
+                for at, lo, hi in zip(cells, low, high):
+                    gap = np.zeros(len(points))
+                    for i in range(width):
+                        gap += np.maximum(np.maximum(lo[i] - points[:, i], points[:, i] - hi[i]), 0) ** 2
+                    # k copies of a row itself can't be bettered
+                    go = (gap <= reach) & (reach > 0) & (pdf["_cell"].to_numpy() != at)
+                    if go.any():
+                        yield pd.DataFrame({"_at": at, "_cell": pdf["_cell"][go], "_place": pdf["_place"][go], "_point": pdf["_point"][go]})
+
+        visits = settled(found.select("_cell", "_place", "_point", "_near").mapInPandas(visit, "_at long, _cell long, _place long, _point array<double>"))
+        hosts = visits.select(F.col("_at").alias("_host"), F.col("_cell").alias("_guest")).distinct().join(
+            celled.select(F.col("_cell").alias("_host"), F.array(*names).alias("_point")), "_host")
+
+        def outside(guests: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            if not len(guests):
+                return pd.DataFrame({"_cell": [], "_place": [], "_near": []})
+            points, of = (np.array(x["_point"].tolist(), float).reshape(-1, width) for x in (rows, guests))
+            return pd.DataFrame({"_cell": guests["_cell"], "_place": guests["_place"], "_near": _nearest(points, of, k, False)})
+
+        met = visits.groupBy("_at", "_cell").cogroup(hosts.groupBy("_host", "_guest")).applyInPandas(outside, f"_cell long, _place long, {near}")
+        more = met.groupBy("_cell", "_place").agg(F.flatten(F.collect_list("_near")).alias("_more"))
+        every = F.concat("_near", F.coalesce("_more", F.array().cast("array<struct<d:double,p:array<double>>>")))
+        found = found.join(more, ["_cell", "_place"], "left").withColumn("_near", F.slice(F.array_sort(every), 1, k))
+    return found.select("_key", "_copies", "_point", F.transform("_near", lambda x: x["p"]).alias("_near"))
+
+
 def smote(
     train: DataFrame, features: Sequence[str], label: str, key: str, minority=None, k: int = 5, seed: int = 42,
     cell_rows: int = CELL_ROWS,
@@ -141,8 +216,8 @@ def smote(
     A synthetic row lies on the line between a minority row and one of its ``k`` nearest minority rows.
     Python only finds the neighbours, cell by cell; the copies are made as column expressions, from hashes
     of the key, so a repeated task makes the same rows.
-    Up to ``cell_rows`` minority rows the neighbours are exact; beyond, they are the nearest within the
-    row's cell.  Synthetic rows have a null key.
+    The neighbours are exact at any size: ``cell_rows`` bounds what a task holds and does not change a row.
+    Synthetic rows have a null key.
     """
     if minority is None:
         smallest = train.where(F.col(label).isNotNull()).groupBy(label).count().orderBy("count", F.desc(label)).first()
@@ -158,21 +233,7 @@ def smote(
     limit = exact_quantiles(few, {"d": "_draw"}, (extra / sizes["few"],))["d"][0]
     few = few.withColumn("_copies", F.lit(each) + F.when(F.col("_draw") < limit, 1).otherwise(0)).drop("_draw")
     names = list(features)
-
-    def neighbours(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = pdf[names].to_numpy(float)
-        squares = (points * points).sum(axis=1)
-        reach = min(k, len(points) - 1)
-        near = []
-        for start in range(0, len(points), 512):
-            block = points[start:start + 512]
-            gaps = squares[start:start + 512, None] + squares[None, :] - 2 * block @ points.T
-            gaps[np.arange(len(block)), start + np.arange(len(block))] = np.inf
-            near += [points[row].tolist() for row in np.argsort(gaps, axis=1, kind="stable")[:, :reach]]
-        return pd.DataFrame({"_key": pdf["_key"], "_copies": pdf["_copies"], "_point": points.tolist(), "_near": near})
-
-    schema = "_key string, _copies long, _point array<double>, _near array<array<double>>"
-    found = _cells(few, names, "_key", cell_rows).groupBy("_cell").applyInPandas(neighbours, schema)
+    found = _neighbours(settled(_cells(few, names, "_key", cell_rows)), names, k)
     made = (
         found.where("_copies > 0 AND size(_near) > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
