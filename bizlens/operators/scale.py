@@ -3,9 +3,9 @@
 ``ntile``, ``percentile`` and ``sum() over (order by …)`` without a partition pull every row into one
 task.  The functions here give the same answers from bounded pieces:
 
-* :func:`order_statistics` finds the rows at given ranks by bracketing them between pivots of a small
-  sample, counting exactly, and narrowing the brackets (the selection method of Floyd and Rivest, 1975,
-  run as aggregates).  Only pivots and answers reach the driver.
+* :func:`order_statistics` finds the rows at given ranks by bracketing them between pivots of a quantile sketch
+  or a small sample, counting exactly, and narrowing the brackets (the selection method of Floyd and Rivest,
+  1975, run as aggregates).  Only pivots and answers reach the driver.
 * :func:`running` range-partitions the rows, sums inside each slice, and adds what earlier slices
   carry in.
 * :func:`series_columns` cuts a long series into chunks that overlap by the reach of the window.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
@@ -30,8 +30,10 @@ SMALL_BYTES = 32 << 20
 READ_NODES = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Union"}
 #: Rows one task may sort for a window; larger groups are split.
 GROUP_ROWS = 1_000_000
-#: Rows of one bracket that are sorted in one aggregate at the end of a selection.
-BRACKET_ROWS = 50_000
+#: Rows of one bracket that one task sorts at the end of a selection.
+BRACKET_ROWS = 500_000
+#: The sketch's ranks are off by at most one part in so many of the rows.
+SKETCH_ACCURACY = 10_000
 #: Expected sample size per bracket and round.
 SAMPLE_ROWS = 20_000
 
@@ -91,12 +93,14 @@ def sort_key(*order: tuple[Column | str, bool]) -> Column:
 
 @dataclass
 class _Bracket:
+    """A rank that is looked for among the keys between ``low`` and ``high``, both left out."""
+
     key: str
     rank: int
+    inside: int
+    below: int = 0
     low: object = None
     high: object = None
-    below: int = 0
-    inside: int = 0
     answer: object = None
 
 
@@ -107,6 +111,50 @@ def _literal(key, dtype: DataType) -> Column:
     return F.struct(*[F.lit(key[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
 
 
+def _within(b: _Bracket, dtype: DataType) -> Column:
+    condition = F.col(b.key).isNotNull()
+    if b.low is not None:
+        condition &= F.col(b.key) > _literal(b.low, dtype)
+    if b.high is not None:
+        condition &= F.col(b.key) < _literal(b.high, dtype)
+    return condition
+
+
+def _members(work: DataFrame, brackets: Sequence[_Bracket], dtype: DataType, rate: Callable[[_Bracket], float] | None = None) -> DataFrame:
+    """(b, k): the keys of each bracket, all of one type, or a random part of them; a row belongs to no or few brackets."""
+    tests = [_within(b, dtype) if rate is None else _within(b, dtype) & (F.col("_draw") < rate(b)) for b in brackets]
+    cells = [F.when(test, F.struct(F.lit(i).alias("b"), F.col(b.key).alias("k"))) for i, (b, test) in enumerate(zip(brackets, tests))]
+    return work.select(F.explode(F.array_compact(F.array(*cells))).alias("m")).select("m.b", "m.k")
+
+
+def _by_type(brackets: Sequence[_Bracket], types: dict[str, DataType]) -> list[tuple[DataType, list[_Bracket]]]:
+    found: dict[str, tuple[DataType, list[_Bracket]]] = {}
+    for b in brackets:
+        found.setdefault(types[b.key].json(), (types[b.key], []))[1].append(b)
+    return list(found.values())
+
+
+def _sampled_pivots(work: DataFrame, wide: Sequence[_Bracket], types, sample_rows: int, attempt: int) -> list[tuple]:
+    """Two keys of a sample around the place of each rank; a bracket's sample is sorted as rows of one task."""
+    found: dict[int, tuple] = {}
+    drawn = work.withColumn("_draw", F.rand(attempt))
+    for dtype, part in _by_type(wide, types):
+        rows = _members(drawn, part, dtype, lambda b: sample_rows / b.inside)
+        window = Window.partitionBy("b")
+        share = F.lit(0.0)
+        for i, b in enumerate(part):
+            share = F.when(F.col("b") == i, (b.rank - b.below + 0.5) / b.inside).otherwise(share)
+        size, place = F.count("*").over(window), F.row_number().over(window.orderBy("k"))
+        margin = 2 * F.sqrt(F.col("size").cast("double")) + 2
+        at = rows.select("b", "k", size.alias("size"), place.alias("place"), share.alias("share"))
+        picks = at.groupBy("b").agg(
+            F.max(F.when(F.col("place") <= F.greatest(F.floor(F.col("size") * F.col("share") - margin), F.lit(1)), F.col("k"))).alias("lo"),
+            F.min(F.when(F.col("place") >= F.least(F.ceil(F.col("size") * F.col("share") + margin), F.col("size")), F.col("k"))).alias("hi"))
+        for row in picks.collect():
+            found[id(part[row["b"]])] = (row["lo"], row["hi"])
+    return [found.get(id(b)) for b in wide]
+
+
 def order_statistics(
     df: DataFrame,
     keys: dict[str, Column],
@@ -114,79 +162,56 @@ def order_statistics(
     totals: dict[str, int],
     bracket_rows: int = BRACKET_ROWS,
     sample_rows: int = SAMPLE_ROWS,
+    pivots: dict[tuple[str, int], tuple] | None = None,
 ) -> list:
     """The keys at 0-based ``ranks``, one ``(key name, rank)`` each.
 
     ``keys`` are plain columns or structs from :func:`sort_key`; rows with a null key do not count.  ``totals`` holds the
-    number of rows per key.  Every round is two aggregates over ``df`` whatever the number of ranks.
+    number of rows per key, ``pivots`` two keys around each rank if a sketch has given them.  A round is a sample (unless pivots are
+    given) and an aggregate over ``df``, whatever the number of ranks.  Brackets leave their ends out, so every round takes
+    the whole ties of its pivots away and ends, however few different keys there are.
     """
     work = df.select(*[column.alias(name) for name, column in keys.items()])
     types = {field.name: field.dataType for field in work.schema.fields}
-    brackets = [_Bracket(name, rank, inside=totals[name]) for name, rank in ranks]
-
-    def within(b: _Bracket) -> Column:
-        condition = F.col(b.key).isNotNull()
-        if b.low is not None:
-            condition &= F.col(b.key) >= _literal(b.low, types[b.key])
-        if b.high is not None:
-            condition &= F.col(b.key) <= _literal(b.high, types[b.key])
-        return condition
-
-    attempt, idle, left = 0, 0, None
-    while True:
-        wide = [b for b in brackets if b.answer is None and b.inside > bracket_rows]
-        if not wide:
-            break
-        attempt, before, left = attempt + 1, left, sum(b.inside for b in wide)
-        idle = idle + 1 if left == before else 0
-        if idle > 10:
-            raise RuntimeError(f"no bracket of {len(wide)} became narrower in {idle} rounds")
-        samples = work.withColumn("_draw", F.rand(attempt)).agg(*[
-            F.sort_array(F.collect_list(F.when(
-                within(b) & (F.col("_draw") < sample_rows / b.inside), F.col(b.key)))).alias(f"s{i}")
-            for i, b in enumerate(wide)
-        ])
-        picks = []
-        for i, b in enumerate(wide):
-            size = F.size(f"s{i}")
-            place = size * F.lit((b.rank - b.below + 0.5) / b.inside)
-            margin = 2 * F.sqrt(size.cast("double")) + 2
-            picks += [
-                F.get(f"s{i}", F.greatest(F.floor(place - margin), F.lit(0)).cast("int")).alias(f"lo{i}"),
-                F.get(f"s{i}", F.least(F.ceil(place + margin), size - 1).cast("int")).alias(f"hi{i}"),
-            ]
-        pivots = samples.select(*picks).first()
+    brackets = [_Bracket(name, rank, totals[name]) for name, rank in ranks]
+    attempt = 0
+    while wide := [b for b in brackets if b.answer is None and b.inside > bracket_rows]:
+        attempt += 1
+        if attempt == 1 and pivots:
+            chosen = [pivots[b.key, b.rank] for b in wide]
+        else:
+            chosen = _sampled_pivots(work, wide, types, sample_rows, attempt)
+        pairs = [(b, *pair) for b, pair in zip(wide, chosen) if pair and pair[0] is not None]
+        if not pairs:  # an empty sample; the next one is another
+            continue
         counts = work.agg(*[
-            F.count_if(test(F.col(b.key), _literal(pivots[f"{side}{i}"], types[b.key]))).alias(f"{name}{i}")
-            for i, b in enumerate(wide) if pivots[f"lo{i}"] is not None
-            for side, name, test in (
-                ("lo", "a", lambda k, p: k < p), ("lo", "b", lambda k, p: k <= p),
-                ("hi", "c", lambda k, p: k < p), ("hi", "d", lambda k, p: k <= p))
-        ] or [F.lit(0)]).first()
-        for i, b in enumerate(wide):
-            low, high = pivots[f"lo{i}"], pivots[f"hi{i}"]
-            if low is None:
-                continue
+            F.count_if(test(F.col(b.key), _literal(pivot, types[b.key]))).alias(f"{name}{i}")
+            for i, (b, low, high) in enumerate(pairs)
+            for pivot, name, test in (
+                (low, "a", lambda k, p: k < p), (low, "b", lambda k, p: k <= p),
+                (high, "c", lambda k, p: k < p), (high, "d", lambda k, p: k <= p))]).first()
+        for i, (b, low, high) in enumerate(pairs):
             before_low, to_low, before_high, to_high = (counts[f"{n}{i}"] for n in "abcd")
             end = b.below + b.inside
             if b.rank < before_low:
-                b.high, b.inside = low, to_low - b.below
+                b.high, b.inside = low, before_low - b.below
             elif b.rank < to_low:
                 b.answer = low
             elif b.rank < before_high:
-                b.low, b.high, b.below, b.inside = low, high, before_low, to_high - before_low
+                b.low, b.high, b.below, b.inside = low, high, to_low, before_high - to_low
             elif b.rank < to_high:
                 b.answer = high
             else:
-                b.low, b.below, b.inside = high, before_high, end - before_high
-    rest = [b for b in brackets if b.answer is None]
-    if rest:
-        found = work.agg(*[
-            F.get(F.sort_array(F.collect_list(F.when(within(b), F.col(b.key)))), F.lit(b.rank - b.below)).alias(f"r{i}")
-            for i, b in enumerate(rest)
-        ]).first()
-        for i, b in enumerate(rest):
-            b.answer = found[f"r{i}"]
+                b.low, b.below, b.inside = high, to_high, end - to_high
+    for dtype, part in _by_type([b for b in brackets if b.answer is None], types):
+        counted = _members(work, part, dtype).groupBy("b", "k").agg(F.count("*").alias("n"))
+        place = F.lit(0)
+        for i, b in enumerate(part):
+            place = F.when(F.col("b") == i, F.lit(b.rank - b.below)).otherwise(place)
+        upto = F.sum("n").over(Window.partitionBy("b").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+        reached = counted.select("b", "k", upto.alias("upto"), place.alias("place")).where("upto > place")
+        for row in reached.groupBy("b").agg(F.min("k").alias("k")).collect():
+            part[row["b"]].answer = row["k"]
     return [b.answer for b in brackets]
 
 
@@ -235,27 +260,52 @@ def exact_quantiles(
     ``percentile`` keeps every distinct value in one buffer, so it serves small input, and columns that
     can only have ``few_values``, such as dates; otherwise the quantiles are selected.
     """
-    df = df.select(*[
-        (F.col(c) if isinstance(c, str) else c).cast("double").alias(name) for name, c in columns.items()])
+    return quantiles_and(df, columns, probabilities, [], bracket_rows, sample_rows, small_bytes, few_values)[0]
+
+
+def quantiles_and(
+    df: DataFrame,
+    columns: dict[str, Column | str],
+    probabilities: Sequence[float],
+    others: Sequence[Column],
+    bracket_rows: int = BRACKET_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
+    small_bytes: int | None = None,
+    few_values: bool = False,
+) -> tuple[dict[str, list], Row]:
+    """:func:`exact_quantiles` and, from its first pass, the ``others``, named aggregates over ``df``.
+
+    That pass takes row counts and a sketch of each column; the sketch's ranks are off by a known part of the rows, so two of
+    its values enclose a quantile.  The second counts around them, the third sorts what lies between; only
+    beyond ``bracket_rows`` times a third of the sketch's accuracy do more passes follow.
+    """
+    values = {name: (F.col(c) if isinstance(c, str) else c).cast("double") for name, c in columns.items()}
+    spots = list(probabilities)
     if few_values or is_small(df, small_bytes):
-        found = df.agg(*[F.percentile(name, F.lit(list(probabilities))).alias(name) for name in columns]).first()
-        return {name: found[name] or [None] * len(probabilities) for name in columns}
+        found = df.agg(*[F.percentile(value, F.lit(spots)).alias(f"_q{i}") for i, value in enumerate(values.values())], *others).first()
+        return {name: found[f"_q{i}"] or [None] * len(spots) for i, name in enumerate(columns)}, found
     df = settled(df)
-    totals = df.agg(*[F.count(name).alias(name) for name in columns]).first().asDict()
-    keys = {name: F.col(name) for name in columns}
-    places = {
-        name: [(int(p * (totals[name] - 1)), p * (totals[name] - 1) % 1) for p in probabilities]
-        for name in columns if totals[name]}
-    ranks = sorted({
-        (name, rank) for name, spots in places.items() for low, part in spots
-        for rank in ((low, low + 1) if part else (low,))})
-    found = dict(zip(ranks, order_statistics(df, keys, ranks, totals, bracket_rows, sample_rows))) if ranks else {}
-    result = {name: [None] * len(probabilities) for name in columns}
-    for name, spots in places.items():
+    margin = 3 / SKETCH_ACCURACY
+    ends = [min(max(p + side, 0.0), 1.0) for p in spots for side in (-margin, margin)]
+    first = df.agg(*[f for i, value in enumerate(values.values()) for f in (
+        F.count(value).alias(f"_n{i}"), F.percentile_approx(value, ends, SKETCH_ACCURACY).alias(f"_e{i}"))], *others).first()
+    totals = {name: first[f"_n{i}"] for i, name in enumerate(columns)}
+    places = {name: [(int(p * (totals[name] - 1)), p * (totals[name] - 1) % 1) for p in spots] for name in columns if totals[name]}
+    pivots = {}
+    for i, name in enumerate(columns):
+        for j, (low, part) in enumerate(places.get(name, [])):
+            for rank in (low, low + 1) if part else (low,):
+                pivots[name, rank] = tuple(first[f"_e{i}"][2 * j:2 * j + 2])
+    ranks = sorted(pivots)
+    narrow = df.select(*[value.alias(name) for name, value in values.items()])
+    keys = {name: F.col(f"`{name}`") for name in columns}
+    found = dict(zip(ranks, order_statistics(narrow, keys, ranks, totals, bracket_rows, sample_rows, pivots))) if ranks else {}
+    result = {name: [None] * len(spots) for name in columns}
+    for name, wanted in places.items():
         result[name] = [
             found[name, low] + (found[name, low + 1] - found[name, low]) * part if part else found[name, low]
-            for low, part in spots]
-    return result
+            for low, part in wanted]
+    return result, first
 
 
 def running(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from bizlens.functions import mean, pct, per, rate, total, up_down, whole_months
-from bizlens.operators.scale import exact_quantiles, running
+from bizlens.operators.scale import is_small, quantiles_and, running
 
 
 def kpis(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
@@ -105,24 +105,38 @@ def customer_ltv(df: DataFrame, key: str, date: str, amount: str) -> DataFrame:
 
 def describe_measure(df: DataFrame, column: str) -> DataFrame:
     """Count, sum, mean, minimum, maximum and exact median of one column."""
-    middle = exact_quantiles(df, {column: column}, (0.5,))[column][0]
-    return df.agg(
-        F.count(column).alias("n"), total(column).alias("total"), mean(column).alias("mean"),
-        F.min(column).alias("min"), F.max(column).alias("max"), F.lit(middle).cast("double").alias("median"))
+    others = [F.count(column).alias("n"), total(column).alias("total"), mean(column).alias("mean"),
+              F.min(column).alias("min"), F.max(column).alias("max")]
+    if is_small(df):
+        return df.agg(*others, F.percentile(F.col(column).cast("double"), F.lit(0.5)).alias("median"))
+    middle, first = quantiles_and(df, {column: column}, (0.5,), others)
+    return _one_row(df, others, first).withColumn("median", F.lit(middle[column][0]).cast("double"))
+
+
+def _one_row(df: DataFrame, aggregates: Sequence[Column], row: Row) -> DataFrame:
+    """The fetched values of ``aggregates`` over ``df`` as a frame with the aggregates' types."""
+    schema = df.agg(*aggregates).schema
+    return df.sparkSession.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column."""
-    quartiles = exact_quantiles(df, {c: c for c in columns}, (0.25, 0.5, 0.75))
     value = {c: F.col(c).cast("double") for c in columns}
-    rows = df.agg(*[
-        F.struct(
-            F.lit(c).alias("column_name"), F.count(value[c]).alias("count"), mean(c).alias("mean"),
-            F.stddev_samp(value[c]).alias("std"), F.min(value[c]).alias("min"),
-            *[F.lit(q).cast("double").alias(n) for n, q in zip(("q25", "q50", "q75"), quartiles[c])],
-            F.max(value[c]).alias("max")).alias(f"_{i}")
-        for i, c in enumerate(columns)])
-    return rows.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+    moments = [F.struct(
+        F.lit(c).alias("column_name"), F.count(value[c]).alias("count"), mean(c).alias("mean"),
+        F.stddev_samp(value[c]).alias("std"), F.min(value[c]).alias("min"), F.max(value[c]).alias("max")).alias(f"_{i}")
+        for i, c in enumerate(columns)]
+    if is_small(df):
+        quartiles = [F.percentile(value[c], F.lit([0.25, 0.5, 0.75])).alias(f"_q{i}") for i, c in enumerate(columns)]
+        rows = df.agg(*moments, *quartiles)
+    else:
+        found, first = quantiles_and(df, {c: c for c in columns}, (0.25, 0.5, 0.75), moments)
+        rows = _one_row(df, moments, first).withColumns({
+            f"_q{i}": F.array(*[F.lit(q).cast("double") for q in found[c]]) for i, c in enumerate(columns)})
+    cells = [F.struct(*[F.col(f"_{i}")[n].alias(n) for n in ("column_name", "count", "mean", "std", "min")],
+                      *[F.get(f"_q{i}", F.lit(j)).alias(n) for j, n in enumerate(("q25", "q50", "q75"))],
+                      F.col(f"_{i}")["max"].alias("max")) for i in range(len(columns))]
+    return rows.select(F.inline(F.array(*cells)))
 
 
 def pivot_matrix(

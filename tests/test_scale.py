@@ -68,6 +68,40 @@ def test_median_of_any_list(spark, values):
     assert found["v"] == [float(np.median(values))]
 
 
+def test_quantiles_between_heavy_ties_at_default_sizes(spark):
+    """Nearly all rows hold one of two values, so both pivots of a round can be whole ties."""
+    frame = spark.range(1_200_000).select(F.when(F.col("id") % 2000 == 0, F.rand(7)).otherwise(F.col("id") % 2).alias("v"))
+    points = (0.0, 0.25, 0.4999, 0.5, 0.5001, 0.75, 1.0)
+    found = scale.exact_quantiles(frame, {"v": "v"}, points, **DISTRIBUTED)["v"]
+    expected = frame.agg(F.percentile("v", F.lit(list(points)))).first()[0]
+    assert found == pytest.approx(expected, abs=1e-12)
+
+
+def test_a_sample_alone_finds_ranks_between_ties(spark):
+    frame = spark.range(400_000).select(F.when(F.col("id") % 1000 == 0, F.rand(7)).otherwise(F.col("id") % 2).alias("v"))
+    ranks = [("v", r) for r in (0, 199_799, 199_800, 200_000, 200_200, 399_999)]
+    found = scale.order_statistics(frame, {"v": F.col("v")}, ranks, {"v": 400_000}, bracket_rows=50_000)
+    values = sorted(r[0] for r in frame.collect())
+    assert found == [values[r] for _, r in ranks]
+
+
+def test_a_bracket_holds_neither_of_its_ends(spark):
+    frame = spark.createDataFrame([(v,) for v in [0] * 50 + [1] * 50], "v int")
+    found = scale.order_statistics(frame, {"v": F.col("v")}, [("v", 49), ("v", 50)], {"v": 100}, bracket_rows=1, sample_rows=4)
+    assert found == [0, 1]
+
+
+def test_three_passes_over_the_rows(spark, monkeypatch):
+    """One aggregate for sketch and counts, one around the sketch's pivots, one sort of what lies between."""
+    taken = []
+    monkeypatch.setattr(scale, "_sampled_pivots", lambda *a: taken.append(a))
+    frame = spark.range(600_000).select(F.rand(3).alias("v"))
+    found = scale.quantiles_and(frame, {"v": "v"}, (0.5,), [F.max("v").alias("top")], small_bytes=0, bracket_rows=1_000)
+    values = sorted(r[0] for r in frame.collect())
+    assert found[0]["v"] == [pytest.approx((values[299_999] + values[300_000]) / 2)] and found[1]["top"] == values[-1]
+    assert not taken
+
+
 def test_quantiles_of_nulls(spark):
     frame = spark.createDataFrame([(None,)], "v double")
     assert scale.exact_quantiles(frame, {"v": "v"}, (0.5,), **DISTRIBUTED)["v"] == [None]
