@@ -1,4 +1,4 @@
-"""Fitting and scoring with Spark ML."""
+"""Fitting and scoring with Spark ML, and scoring with fitted coefficients."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.linear import Coefficients
+
 
 def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
@@ -47,6 +49,12 @@ def fit_forest_regressor(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed))
 
 
+def predict(model: Coefficients, df: DataFrame, keep: Sequence[str | Column], threshold: float = 0.5) -> DataFrame:
+    """Kept columns and the ``score``; for log-odds also the ``prediction`` of class 1 from ``threshold`` on."""
+    scored = df.select(*keep, model.score().alias("score"))
+    return scored.withColumn("prediction", (F.col("score") >= threshold).cast("double")) if model.logistic else scored
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns, ``prediction`` and, for classifiers, the ``score`` of class 1."""
     out = model.transform(df)
@@ -56,8 +64,10 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
     return out.select(*keep, *added)
 
 
-def forecast_output(model: PipelineModel, test: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+def forecast_output(model: PipelineModel | Coefficients, test: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """Keys, actual and predicted value; the keys travel through the model with their row."""
+    if isinstance(model, Coefficients):
+        return test.select(*keys, F.col(label).alias("actual"), model.score().alias("predicted"))
     return model.transform(test).select(
         *keys, F.col(label).alias("actual"), F.col("prediction").alias("predicted"))
 

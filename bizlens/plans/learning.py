@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from bizlens.operators import evaluation, features, models, summary
+from bizlens.operators import evaluation, features, linear, models, summary
 from bizlens.plans.registry import report
 from bizlens.session import scratch_path
-from bizlens.sources import sinks
+from bizlens.sources import readers, sinks
 
 SERIES = ["store", "item"]
 LAGS = "lag(units, 1) OVER s AS lag_1, lag(units, 7) OVER s AS lag_7"
@@ -110,10 +110,10 @@ def classified(t, kind):
     scaler = features.fit_standardizer(train, FEATURES)
     train, test = features.standardize(train, scaler), features.standardize(test, scaler)
     if kind == "logistic":
-        model = models.fit_logistic(features.smote(train, FEATURES, "toxic", "doc_id"), FEATURES, "toxic")
-    else:
-        weighted = features.class_weights(train, "toxic")
-        model = models.fit_forest_classifier(weighted, FEATURES, "toxic", weight="weight")
+        model = linear.fit_log_odds(features.smote(train, FEATURES, "toxic", "doc_id"), FEATURES, "toxic")
+        return model, models.predict(model, test, ["doc_id", F.col("toxic").alias("label")])
+    weighted = features.class_weights(train, "toxic")
+    model = models.fit_forest_classifier(weighted, FEATURES, "toxic", weight="weight")
     return model, models.score(model, test, ["doc_id", F.col("toxic").alias("label")])
 
 
@@ -122,6 +122,51 @@ def _(t):
     return evaluation.classification_report(classified(t, "logistic")[1])
 
 
+def _det(*rows):
+    (a, b, c), (d, e, f), (g, h, i) = rows
+    return f"({a}*({e}*{i}-{f}*{h})-{b}*({d}*{i}-{f}*{g})+{c}*({d}*{h}-{e}*{g}))"
+
+
+#: Newton steps for two standardised features and an intercept, each one sum over all rows, solved by Cramer's rule.
+_G = ["sum(p - y)", "sum((p - y) * x1) + b1", "sum((p - y) * x2) + b2"]
+_H = {"00": "sum(q)", "01": "sum(q * x1)", "02": "sum(q * x2)", "11": "sum(q * x1 * x1) + 1", "12": "sum(q * x1 * x2)", "22": "sum(q * x2 * x2) + 1"}
+_HS = [[f"h{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+_MOVES = [f"b{k} - {_det(*[[f'g{i}' if j == k else _HS[i][j] for j in range(3)] for i in range(3)])} / {_det(*_HS)} AS b{k}" for k in range(3)]
+NEWTON = r"""
+    WITH RECURSIVE m AS (SELECT toxic AS y, CAST(n_chars AS DOUBLE) AS a, 1e0 * length(text) / words AS b
+      FROM (SELECT *, len(string_split_regex(trim(text), '[ \t\n\v\f\r]+')) AS words FROM labels JOIN documents USING (doc_id)) x),
+    d AS (SELECT y, (a - (SELECT avg(a) FROM m)) / (SELECT stddev_pop(a) FROM m) AS x1,
+      (b - (SELECT avg(b) FROM m)) / (SELECT stddev_pop(b) FROM m) AS x2 FROM m),""" + f"""
+    s AS (SELECT 0 AS step, 0e0 AS b0, 0e0 AS b1, 0e0 AS b2
+      UNION ALL SELECT step + 1, {', '.join(_MOVES)} FROM (
+        SELECT step, b0, b1, b2, {', '.join(f'{g} AS g{i}' for i, g in enumerate(_G))}, {', '.join(f'{h} AS h{n}' for n, h in _H.items())}
+        FROM (SELECT *, p * (1 - p) AS q FROM (SELECT s.*, y, x1, x2, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p
+          FROM s, d WHERE step < 20) z) q GROUP BY step, b0, b1, b2) h),
+    fitted AS (SELECT * FROM s WHERE step = 20)"""
+NEWTON_FEATURES = ["n_chars", "avg_word"]
+
+
+def two_feature_fit(t):
+    docs = documents(t)
+    scaled = features.standardize(docs, features.fit_standardizer(docs, NEWTON_FEATURES))
+    return linear.fit_log_odds(scaled, NEWTON_FEATURES, "toxic"), scaled
+
+
+@report("logistic_coefficients", "M8", "name:s value:f6", f"""{NEWTON}
+    SELECT '(intercept)' AS name, b0 AS value FROM fitted UNION ALL SELECT 'n_chars', b1 FROM fitted
+    UNION ALL SELECT 'avg_word', b2 FROM fitted""")
+def _(t):
+    return two_feature_fit(t)[0].table(t.spark)
+
+
+@report("logistic_confusion", "M8 M10", "label:i prediction:i n:i", f"""{NEWTON}
+    SELECT label, prediction, count(*) AS n FROM (SELECT y AS label,
+      CASE WHEN 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM d, fitted) z GROUP BY ALL""")
+def _(t):
+    model, scaled = two_feature_fit(t)
+    return evaluation.confusion_counts(models.predict(model, scaled, [F.col("toxic").alias("label")]))
+
+
 @report("forest_report", "M9 M10", "class:s precision:f recall:f f1:f support:i")
 def _(t):
     return evaluation.classification_report(classified(t, "forest")[1])
@@ -222,23 +267,72 @@ def forecast(t, kind):
     pass over the training rows, and the library's default of 30 levels is a matter of hours at scale."""
     train, test = features.time_split(weekly(t), "week")
     if kind == "linear":
-        return models.fit_linear(train, DEMAND, "units"), test
+        return linear.fit_line(train, DEMAND, "units"), test
     return models.fit_forest_regressor(train, DEMAND, "units", depth=8), test
 
 
-@report("linear_forecast", "M15 M17", "brand:s week:s actual:f predicted:f")
+#: Complete weeks, the training part, and its least-squares line by Cramer's rule over the covariances.
+_CELLS = [f"covar_pop({a}, {b}) AS {a}_{b}" for i, a in enumerate(DEMAND) for b in [*DEMAND[i:], "units"]]
+
+
+_COV = [[f"{DEMAND[min(i, j)]}_{DEMAND[max(i, j)]}" for j in range(3)] for i in range(3)]
+_WITH = [[[f"{DEMAND[i]}_units" if j == k else _COV[i][j] for j in range(3)] for i in range(3)] for k in range(3)]
+LINE = f"""
+    WITH d AS (SELECT brand, date_trunc('week', ship_date)::DATE AS week, CAST(sum(qty) AS DOUBLE) AS units
+      FROM line JOIN prod ON product_id = part_id GROUP BY ALL),
+    f AS (SELECT *, lag(units, 1) OVER s AS lag_1, lag(units, 7) OVER s AS lag_7,
+      sum(units) OVER (PARTITION BY brand ORDER BY week ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) / 7e0 AS roll_7
+      FROM d WINDOW s AS (PARTITION BY brand ORDER BY week)),
+    k AS (SELECT * FROM f WHERE lag_7 IS NOT NULL),
+    e AS (SELECT trunc(quantile_cont(CAST(date_diff('day', DATE '1970-01-01', week) AS DOUBLE), 0.8)) AS edge FROM k),
+    train AS (SELECT k.* FROM k, e WHERE date_diff('day', DATE '1970-01-01', week) <= edge),
+    test AS (SELECT k.* FROM k, e WHERE date_diff('day', DATE '1970-01-01', week) > edge),
+    v AS (SELECT {', '.join(_CELLS)}, {', '.join(f'avg({c}) AS m_{c}' for c in [*DEMAND, 'units'])} FROM train),
+    w AS (SELECT *, {', '.join(f'{_det(*_WITH[k])} / {_det(*_COV)} AS w{k}' for k in range(3))} FROM v),
+    fitted AS (SELECT *, m_units - w0 * m_lag_1 - w1 * m_lag_7 - w2 * m_roll_7 AS b FROM w),
+    forecast AS (SELECT brand, week, units AS actual, b + w0 * lag_1 + w1 * lag_7 + w2 * roll_7 AS predicted FROM test, fitted)"""
+
+
+@report("linear_coefficients", "M15", "name:s value:f6", f"""{LINE}
+    SELECT '(intercept)' AS name, b AS value FROM fitted UNION ALL SELECT 'lag_1', w0 FROM fitted
+    UNION ALL SELECT 'lag_7', w1 FROM fitted UNION ALL SELECT 'roll_7', w2 FROM fitted""")
+def _(t):
+    return forecast(t, "linear")[0].table(t.spark)
+
+
+@report("linear_forecast", "M15 M17", "brand:s week:s actual:f predicted:f6", f"{LINE} SELECT * FROM forecast")
 def _(t):
     model, test = forecast(t, "linear")
     return models.forecast_output(model, test, ["brand", "week"], "units")
 
 
-@report("linear_forecast_errors", "M15 M18 S11", "rmse:f mape:f r2:f")
+@report("linear_forecast_errors", "M15 M18 S11", "rmse:f6 mape:f6 r2:f6", f"""{LINE}
+    SELECT sqrt(sum((actual - predicted) ** 2) / count(*)) AS rmse, avg(abs((actual - predicted) / actual)) AS mape,
+      1 - sum((actual - predicted) ** 2) / (var_pop(actual) * count(*)) AS r2 FROM forecast""")
 def _(t):
     model, test = forecast(t, "linear")
-    loaded = sinks.load_model(sinks.save_model(model, scratch_path(t.spark, "linear-model")))
+    loaded = linear.Coefficients.load(t.spark, model.save(t.spark, scratch_path(t.spark, "linear-model")))
     return evaluation.regression_metrics(models.forecast_output(loaded, test, ["brand"], "units"))
 
 
+@report("exported_forecast", "M17 S10 S11", "brand:s week:s actual:f predicted:f6", f"{LINE} SELECT * FROM forecast")
+def _(t):
+    """The predictions of the saved model, written as comma-separated text and read again."""
+    model, test = forecast(t, "linear")
+    loaded = linear.Coefficients.load(t.spark, model.save(t.spark, scratch_path(t.spark, "linear-model")))
+    path = sinks.write_csv(models.forecast_output(loaded, test, ["brand", "week"], "units"), scratch_path(t.spark, "forecast"))
+    return readers.read_csv(t.spark, path, "brand string, week date, actual double, predicted double")
+
+
+@report("demand_correlation", "A24 M15", "x:s y:s correlation:f6", f"{LINE}, p AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS correlation FROM train" for a in [*DEMAND, "units"] for b in [*DEMAND, "units"])
+    + ") SELECT * FROM p")
+def _(t):
+    """Read from the sums that the line is fitted on."""
+    train, _ = features.time_split(weekly(t), "week")
+    return linear.gram(train, [*DEMAND, "units"], 6).correlations(t.spark)
+
+
 @report("forest_forecast_errors", "M16 M17 M18", "rmse:f mape:f r2:f")
 def _(t):
     model, test = forecast(t, "forest")
