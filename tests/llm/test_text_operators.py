@@ -99,6 +99,11 @@ def test_fingerprints(spark, sf_dir, docs, odd):
     pair = spark.createDataFrame([("\n".join(f"line {i}" for i in range(20)), "\n".join(f"line {i}{'x' * (i == 9)}" for i in range(20)))], "a string, b string")
     a, b = (merkle.fingerprint(pair[c]) for c in "ab")
     assert pair.select(merkle.changed_paragraphs(a, b).alias("n")).first().n == [10]
+    lines = [f"line {i}" for i in range(20)]
+    pair = spark.createDataFrame([("\n".join(lines), "\n".join(["new", *lines])), ("", "a\nb"), ("x\ny", "x\ny"), (None, "")], "a string, b string")
+    a, b = (merkle.fingerprint(pair[c]) for c in "ab")
+    found = pair.select(merkle.changed_paragraphs(a, b).alias("new"), merkle.changed_paragraphs(b, a).alias("lost")).collect()
+    assert [(r.new, r.lost) for r in found] == [([1], []), ([1, 2], [1]), ([], []), ([], [])]
 
 
 def test_rules(spark, sf_dir, docs, odd):
