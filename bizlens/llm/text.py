@@ -24,6 +24,8 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 2**64)
 #: Texts of one vectorised step take this many bytes together; a longer text is a step of its own.
 STEP_BYTES = 2_000_000
+#: Bytes that are hashed together.
+HASHED_BYTES = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -108,12 +110,21 @@ class Rolling:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word and the index of the first word of each text."""
-    begins, ends, first = word_spans(data, starts)
-    codes = CODES[LOWER[data]] if lower else CODES[data]
-    return Rolling(codes).spans(begins, ends), first
-
+    """Hash of each word and the index of the first word of each text.
 
+    Bytes are hashed in pieces of about ``HASHED_BYTES``: a hash does not depend on where its word lies, and the sums over bytes
+    take many times the room of the bytes.
+    """
+    begins, ends, first = word_spans(data, starts)
+    found = np.empty(len(begins), np.uint64)
+    low = 0
+    while low < len(begins):
+        at = begins[low]
+        high = max(int(np.searchsorted(begins, at + HASHED_BYTES)), low + 1)
+        piece = data[at:ends[high - 1]]
+        found[low:high] = Rolling(CODES[LOWER[piece]] if lower else CODES[piece]).spans(begins[low:high] - at, ends[low:high] - at)
+        low = high
+    return found, first
 
 
 def crossing_free(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
