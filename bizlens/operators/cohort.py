@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions import month_start, months_apart, per, whole_months
 from bizlens.operators.joins import with_group_value
+from bizlens.operators.scale import settled
 
 
 def _index(mode: str, start: Column, end: Column, base: int) -> Column:
@@ -128,19 +129,34 @@ def cohort_activity(df: DataFrame, key: str, date: str, amount: str) -> DataFram
         F.count("*").alias("active"), F.sum("revenue").alias("revenue"))
 
 
+def _monthly_days(df: DataFrame, key: str, date: str, aggregates: dict[str, Column] | None = None) -> DataFrame:
+    """Per key and month the days with a row, one bit each, and other aggregates; partial sums of fixed size."""
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth(date) - 1)
+    return df.where(F.col(date).isNotNull()).groupBy(key, month_start(date).alias("activity_month")).agg(
+        F.bit_or(bit).alias("_days"), *[value.alias(name) for name, value in (aggregates or {}).items()])
+
+
+def _nth_day(months: DataFrame, key: str, n: int, into: str) -> DataFrame:
+    """The n-th distinct date of every key that has one.
+
+    Every month has a date at least, so the first ``n`` months hold the n-th; a key, however many dates it has, is one short array.
+    """
+    listed = F.slice(F.array_sort(F.collect_list(F.struct("activity_month", "_days"))), 1, n)
+    dates = F.flatten(F.transform("_months", lambda m: F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(30)), lambda d: F.call_function("shiftright", m["_days"], d).bitwiseAND(1) == 1),
+        lambda d: F.date_add(m["activity_month"], d))))
+    found = months.groupBy(key).agg(listed.alias("_months")).select(key, F.get(dates, F.lit(n - 1)).alias(into))
+    return found.where(F.col(into).isNotNull())
+
+
 def nth_event(df: DataFrame, key: str, date: str, n: int) -> DataFrame:
-    """The n-th distinct date of every key that has one; a key has at most as many rows as days."""
-    days = df.where(F.col(date).isNotNull()).select(key, F.col(date).cast("date").alias(date)).distinct()
-    place = F.row_number().over(Window.partitionBy(key).orderBy(date))
-    return days.withColumn("_place", place).where(F.col("_place") == n).drop("_place")
+    """The n-th distinct date of every key that has one."""
+    return _nth_day(_monthly_days(df, key, date), key, n, date)
 
 
 def nth_purchase_cohort(df: DataFrame, key: str, date: str, amount: str, n: int = 3) -> DataFrame:
     """Cohorts by the month of the n-th distinct purchase date; activity in all months, as reported."""
-    start = nth_event(df, key, date, n).select(key, month_start(date).alias("cohort_month"))
-    monthly = (
-        df.where(F.col(date).isNotNull()).groupBy(key, month_start(date).alias("activity_month"))
-        .agg(F.sum(amount).alias("revenue"))
-    )
-    return monthly.join(start, key).groupBy("cohort_month", "activity_month").agg(
+    monthly = settled(_monthly_days(df, key, date, {"revenue": F.sum(amount)}))
+    start = _nth_day(monthly, key, n, "_nth").select(key, month_start("_nth").alias("cohort_month"))
+    return monthly.drop("_days").join(start, key).groupBy("cohort_month", "activity_month").agg(
         F.count("*").alias("active"), F.sum("revenue").alias("revenue"))

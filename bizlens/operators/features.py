@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.operators.joins import attach, with_group_value
@@ -74,19 +74,40 @@ def assemble(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[
 
 
 def stratified_split(
-    df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42
+    df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42, spread: float = 6.0, **scale
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows with the same share of every class.
 
-    Rows are ranked in their class by a hash of the key; the first ``ceil(test * (rows - 1))`` are the test rows, for
+    Rows are ranked in their class by the MD5 digest of ``key:seed``; the first ``ceil(test * (rows - 1))`` are the test rows, for
     any number of classes (a null label is one).  Equal keys are ordered by their other columns, so the split does not
     depend on the partitioning.
+
+    Digests are spread evenly, so the last test row of a class lies within a few deviations of its place.  Rows below that bracket
+    are counted, and only those inside it are sorted; the bracket (``spread`` deviations) grows until it holds the row.
     """
-    draw = F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("a"), F.xxhash64(*df.columns).alias("b"))
-    sized = with_group_value(df.withColumn("_draw", draw), label, F.count("*"), "_size")
-    placed = settled(running(sized, [label], ["_draw"], {"_place": F.lit(1)}))
-    chosen = F.col("_place") - 1 < F.lit(test) * (F.col("_size") - 1)
-    return tuple(placed.where(part).drop("_draw", "_size", "_place") for part in (~chosen, chosen))
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
+    draw = F.struct(digest.alias("a"), F.xxhash64(*df.columns).alias("b"))
+    drawn = settled(df.withColumn("_draw", draw))
+    part = F.conv(F.substring("_draw.a", 1, 13), 16, 10).cast("double") / F.lit(16.0**13)
+    sized = with_group_value(drawn.select(label, "_draw"), label, F.count("*"), "_size", **scale)
+    wanted = F.ceil(F.lit(test) * (F.col("_size") - 1))
+    while True:
+        margin = spread * F.sqrt(F.lit(test * (1 - test)) / F.col("_size")) + spread / F.col("_size")
+        side = F.when(part < F.lit(test) - margin, -1).when(part > F.lit(test) + margin, 1).otherwise(0)
+        sided = sized.withColumn("_side", side)
+        counts = settled(sided.groupBy(label).agg(
+            F.max("_size").alias("_rows"), F.count_if(F.col("_side") < 0).alias("_below"), F.count_if(F.col("_side") == 0).alias("_inside"),
+            F.max(wanted).alias("_wanted")))
+        if counts.where("_wanted > 0 and (_wanted <= _below or _wanted > _below + _inside)").isEmpty():
+            break
+        spread *= 2
+    inside = sided.where("_side = 0").select(label, "_draw").withColumn("_place", F.row_number().over(Window.partitionBy(label).orderBy("_draw")))
+    edges = inside.join(counts.withColumnRenamed(label, "_label"), F.col(label).eqNullSafe(F.col("_label")) & (F.col("_place") == F.col("_wanted") - F.col("_below")))
+    last = counts.withColumnRenamed(label, "_label").join(
+        edges.select(F.col(label).alias("_at"), F.col("_draw").alias("_last")), F.col("_label").eqNullSafe(F.col("_at")), "left")
+    marked = attach(drawn, last.select(F.col("_label").alias(label), "_last", "_rows"), label, "_rows", **scale)
+    chosen = F.coalesce(F.col("_draw") <= F.col("_last"), F.lit(False))
+    return tuple(marked.where(part_).drop("_draw", "_last") for part_ in (~chosen, chosen))
 
 
 def time_split(df: DataFrame, date: str, test: float = 0.2) -> tuple[DataFrame, DataFrame]:

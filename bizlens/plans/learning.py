@@ -62,6 +62,13 @@ def _(t):
     return both.groupBy("toxic").agg(F.count("*").alias("rows"), F.sum("part").alias("test_rows"))
 
 
+@report("split_test_rows", "M5", "doc_id:i toxic:i", """
+    SELECT doc_id, toxic FROM (SELECT *, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || ':42')) AS place,
+      count(*) OVER (PARTITION BY toxic) AS n FROM labels) x WHERE place <= ceil(0.2e0 * (n - 1))""")
+def _(t):
+    return features.stratified_split(t.raw("labels"), "toxic", "doc_id")[1].select("doc_id", "toxic")
+
+
 @report("time_split_sizes", "M6", "part:s days:i first_day:s last_day:s", """
     WITH c AS (SELECT DATE '1970-01-01' + CAST(trunc(quantile_cont(CAST(date_diff('day', DATE '1970-01-01', day) AS DOUBLE), 0.8))
       AS INTEGER) AS edge FROM demand)
