@@ -7,6 +7,8 @@ probabilities of being good, weighted by length.
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +17,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bizlens.llm.text import CODES, SPACE, Rolling, steps, word_spans
 
-#: Bounds of the fitted sample: labelled documents, and lines of each document.
+#: Bounds of the fitted sample: labelled documents, and lines of each document, a run of them that begins anywhere in it.
 SAMPLE_DOCS, SAMPLE_LINES = 4000, 60
 ROUNDS, RATE, DECAY = 300, 0.1, 1e-4
 SYMBOLS = np.zeros(256, bool)
@@ -157,6 +159,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable, id_col: str = "doc_i
         for batch, data, starts in steps(batches, "_text"):
             features, _, first = line_features(data, starts)
             for i, (a, b) in enumerate(zip(first, first[1:])):
+                # a checksum of the text says where the run begins, so all parts of long texts are learned from
+                a += crc32(data[starts[i]:starts[i + 1]].tobytes()) % max(b - a - SAMPLE_LINES + 1, 1)
                 part = features[a:min(b, a + SAMPLE_LINES)].astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i:i + 1], batch.column(1)[i:i + 1], pa.array([part.tobytes()], pa.binary())], ["_id", "_label", "lines"])

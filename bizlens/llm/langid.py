@@ -7,10 +7,10 @@ bits that name its place in the sample or, failing that, a byte, so samples need
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from bizlens.llm.text import LOWER, steps
 SAMPLE_DOCS, SAMPLE_BYTES = 48, 500
 #: A text is parsed in stretches of this many bytes, side by side; a phrase also ends with its stretch.
 STRETCH = 1024
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: The first letter of a text and what follows, as far as the sample takes it.
 FROM_LETTER = rf"(?s)\p{{L}}.{{0,{SAMPLE_BYTES - 1}}}"
 #: Bytes as the parser sees them: lower-case letters and the bytes of other scripts; all else is a space.

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from bizlens.llm.text import WORD, stored
 
 BUCKETS = 1 << 16
-#: Bound of the trusted sample: documents with the lowest hashes of their ids.
-TRUSTED_DOCS = 20_000
+#: Up to so many trusted ids (counted) are broadcast; more meet the texts in a shuffle.
+BROADCAST_IDS = 1_000_000
 SMOOTHING = 1.0
 #: Mean log ratio from which a text is kept.
 THRESHOLD = -0.3
@@ -87,14 +87,15 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(bucket, ratio): the log of a bucket's share in trusted texts over its share in all texts, both smoothed, in millionths.
 
-    ``trusted_ids`` has one column of ids, of which the ``TRUSTED_DOCS`` with the lowest hashes count; they are
-    broadcast, and so bounded.  All texts are counted in the tasks, bucket by bucket: at most ``BUCKETS`` rows leave a task.
+    ``trusted_ids`` has one column of ids, which all count.  All texts are counted in the tasks, bucket by bucket: at most
+    ``BUCKETS`` rows leave a task.
     """
     name = trusted_ids.columns[0]
-    chosen = (trusted_ids.where(F.col(name).isNotNull()).select(F.col(name).alias("_trusted")).distinct()
-              .orderBy(F.xxhash64("_trusted"), "_trusted").limit(TRUSTED_DOCS))
+    chosen = stored(trusted_ids.where(F.col(name).isNotNull()).select(F.col(name).alias("_trusted")).distinct(), "trusted")
+    if chosen.count() <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
     grams = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(chosen), F.col("_id") == F.col("_trusted"), "left").select(
+        chosen, F.col("_id") == F.col("_trusted"), "left").select(
         F.col("_trusted").isNotNull().cast("int").alias("t"), F.explode(_grams(F.col("_text"))).alias("bucket"))
     counts = stored(grams.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("t").alias("t")), "grams")
     total = counts.agg(F.sum("n"), F.sum("t")).first()
