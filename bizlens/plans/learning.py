@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from bizlens.operators import evaluation, features, linear, models, summary
+from bizlens.operators import evaluation, features, forest, linear, models, summary
 from bizlens.plans.registry import report
 from bizlens.session import scratch_path
 from bizlens.sources import readers, sinks
@@ -184,6 +184,85 @@ def _(t):
     return models.feature_importance(classified(t, "forest")[0], FEATURES, t.spark)
 
 
+#: A forest that SQL grows as well: trees, levels, bins and features looked at per split.
+TREES, LEVELS, BINS, LOOKED_AT = 5, 3, 8, 2
+_LIMITS = (24109, 48218, 60273, 64291, 65296, 65497, 65530)  # Poisson draws of mean 1 in parts of 65536
+
+
+def forest_sql(rows: str, names: list[str], per_split: int | None, scored: str) -> str:
+    """Nodes of the forest over ``rows`` (key, y and the features) and the scores of ``scored`` (key and the features)."""
+    points = "[" + ", ".join(f"{i / BINS!r}" for i in range(1, BINS)) + "]"
+    u = "('0x' || substr(md5(key || ':' || tree || ':42'), 1, 4))::INT"
+    level = f"""
+      l{{n}} AS MATERIALIZED ({{rows}}),
+      h{{n}} AS (SELECT tree, node, f, bins[f + 1] AS bin, sum(w) AS w, sum(wy) AS wy FROM l{{n}}, range({len(names)}) r(f) GROUP BY ALL),
+      c{{n}} AS (SELECT tree, node, f, bin, sum(w) OVER o AS wl, sum(wy) OVER o AS sl, sum(w) OVER p AS wt, sum(wy) OVER p AS st FROM h{{n}}
+        WINDOW p AS (PARTITION BY tree, node, f), o AS (PARTITION BY tree, node, f ORDER BY bin)),
+      g{{n}} AS (SELECT *, sl * sl / wl + (st - sl) * (st - sl) / (wt - wl) - st * st / wt AS gain FROM c{{n}} WHERE wl >= 1 AND wt - wl >= 1),
+      t{{n}} AS (SELECT *, dense_rank() OVER (PARTITION BY tree, node ORDER BY md5(tree || ':' || node || ':' || f || ':42')) AS turn FROM g{{n}} WHERE gain > 1e-9),
+      b{{n}} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, f, bin) AS best FROM t{{n}}
+        WHERE turn <= {per_split or len(names)} QUALIFY best = 1)"""
+    parts = [level.format(n=0, rows="SELECT tree, 1::BIGINT AS node, w, w * y AS wy, bins FROM drawn WHERE w > 0")]
+    for n in range(1, LEVELS):
+        parts.append(level.format(n=n, rows=f"SELECT l.tree, l.node * 2 + (bins[f + 1] > bin)::INT AS node, w, wy, bins "
+                                  f"FROM l{n - 1} l JOIN b{n - 1} b ON l.tree = b.tree AND l.node = b.node"))
+    parts.append(f"""
+      l{LEVELS} AS (SELECT l.tree, l.node * 2 + (bins[f + 1] > bin)::INT AS node, w, wy, bins
+        FROM l{LEVELS - 1} l JOIN b{LEVELS - 1} b ON l.tree = b.tree AND l.node = b.node)""")
+    edges = ", ".join(f"(SELECT list_sort(list_distinct(quantile_cont({f}, {points}))) FROM m) AS e{i}" for i, f in enumerate(names))
+    cells = ", ".join(f"len(list_filter(e{i}, lambda e: e < {f}))" for i, f in enumerate(names))
+    named = "[" + ", ".join(f"'{f}'" for f in names) + "]"
+    totals = " UNION ALL ".join(
+        f"SELECT s.tree, s.node, s.weight, s.total, {'b.f, b.bin, b.gain' if n < LEVELS else 'NULL, NULL, NULL'} FROM (SELECT tree, node, sum(w) AS weight, sum(wy) AS total "
+        f"FROM l{n} GROUP BY ALL) s" + (f" LEFT JOIN b{n} b ON s.tree = b.tree AND s.node = b.node" if n < LEVELS else "") for n in range(LEVELS + 1))
+    return f"""
+    WITH RECURSIVE m AS MATERIALIZED ({rows}), edges AS MATERIALIZED (SELECT {edges}),
+      drawn AS MATERIALIZED (SELECT tree, {' + '.join(f'({u} >= {x})::INT' for x in _LIMITS)} AS w, y, [{cells}] AS bins
+        FROM m, edges, range(1, {TREES + 1}) r(tree)),{','.join(parts)},
+      nodes AS MATERIALIZED (SELECT tree, node, weight, total, {named}[f + 1] AS feature, [{', '.join(f'e{i}' for i in range(len(names)))}][f + 1][bin + 1] AS threshold, gain
+        FROM ({totals}) x(tree, node, weight, total, f, bin, gain), edges),
+      asked AS MATERIALIZED ({scored}),
+      walk AS (SELECT a.*, tree, 1::BIGINT AS node FROM asked a, (SELECT DISTINCT tree FROM nodes) t
+        UNION ALL SELECT w.* EXCLUDE (node), w.node * 2 + (CASE feature {' '.join(f"WHEN '{f}' THEN {f}" for f in names)} END > threshold)::INT
+        FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node WHERE feature IS NOT NULL),
+      scores AS (SELECT key, avg(total / weight) AS score FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node WHERE feature IS NULL GROUP BY key)"""
+
+
+_DOC_FEATURES = r"""SELECT doc_id::VARCHAR AS key, toxic AS y, CAST(n_chars AS DOUBLE) AS n_chars, CAST(words AS DOUBLE) AS n_words,
+      CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines, 1e0 * length(text) / words AS avg_word,
+      CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) AS digits, CAST(quality AS DOUBLE) AS quality
+    FROM (SELECT *, len(string_split_regex(trim(text), '[ \t\n\v\f\r]+')) AS words FROM labels JOIN documents USING (doc_id)) x"""
+_NOT_TEST = """doc_id NOT IN (SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || ':42')) AS place,
+      count(*) OVER (PARTITION BY toxic) AS n FROM labels) x WHERE place <= ceil(0.2e0 * (n - 1)))"""
+CLASS_FOREST = forest_sql(f"{_DOC_FEATURES} WHERE {_NOT_TEST}", FEATURES, LOOKED_AT, f"{_DOC_FEATURES} WHERE NOT ({_NOT_TEST})")
+
+
+def grown(t):
+    """Nodes of the class forest on the training part, saved and read again, and the test part."""
+    train, test = features.stratified_split(documents(t), "toxic", "doc_id")
+    nodes = forest.grow_forest(train, FEATURES, "toxic", "doc_id", TREES, LEVELS, BINS, LOOKED_AT)
+    return forest.load_forest(t.spark, forest.save_forest(nodes, scratch_path(t.spark, "class-forest"))), test
+
+
+@report("forest_nodes", "M9 S11", "tree:i node:i weight:f total:f feature:s threshold:f6 gain:f6", f"{CLASS_FOREST} SELECT * FROM nodes")
+def _(t):
+    return grown(t)[0]
+
+
+@report("forest_scores", "M9 S11", "doc_id:i score:f6", f"{CLASS_FOREST} SELECT key AS doc_id, score FROM scores")
+def _(t):
+    nodes, test = grown(t)
+    return forest.score_forest(test, nodes, FEATURES, ["doc_id"])
+
+
+@report("grown_importance", "M13", "feature:s importance:f6", f"""{CLASS_FOREST}
+    SELECT feature, sum(part) / (SELECT count(DISTINCT tree) FROM nodes WHERE feature IS NOT NULL) AS importance FROM (
+      SELECT feature, sum(gain) / (SELECT sum(gain) FROM nodes o WHERE o.tree = n.tree) AS part FROM nodes n
+      WHERE feature IS NOT NULL GROUP BY tree, feature) p GROUP BY feature""")
+def _(t):
+    return forest.importances(grown(t)[0])
+
+
 @report("confusion_counts", "M10", "label:i prediction:i n:i",
         "SELECT label, prediction, count(*) AS n FROM scored GROUP BY ALL")
 def _(t):
@@ -270,12 +349,10 @@ def _(t):
 
 
 def forecast(t, kind):
-    """The forest keeps its 300 trees but stops at depth 8: every further level of all trees is another
-    pass over the training rows, and the library's default of 30 levels is a matter of hours at scale."""
     train, test = features.time_split(weekly(t), "week")
     if kind == "linear":
         return linear.fit_line(train, DEMAND, "units"), test
-    return models.fit_forest_regressor(train, DEMAND, "units", depth=8), test
+    return models.fit_forest_regressor(train, DEMAND, "units"), test
 
 
 #: Complete weeks, the training part, and its least-squares line by Cramer's rule over the covariances.
@@ -346,6 +423,24 @@ def _(t):
     return evaluation.regression_metrics(models.forecast_output(model, test, ["brand"], "units"))
 
 
+_WEEKS = "SELECT brand || '|' || week AS key, units AS y, lag_1, lag_7, roll_7"
+DEMAND_FOREST = forest_sql(f"{_WEEKS} FROM wk_train", DEMAND, None, f"{_WEEKS} FROM wk_test").replace(
+    "WITH RECURSIVE", "WITH RECURSIVE " + LINE.split("WITH", 1)[1].split("v AS (SELECT")[0].rstrip().rstrip(",").replace(
+        "train AS (", "wk_train AS (").replace("test AS (", "wk_test AS (").replace("    d AS", "    d AS") + ",", 1)
+
+
+@report("grown_forecast", "M16 M17 S10 S11", "brand:s week:s predicted:f6", f"""{DEMAND_FOREST}
+    SELECT string_split(key, '|')[1] AS brand, string_split(key, '|')[2] AS week, score AS predicted FROM scores""")
+def _(t):
+    """A forest for the demand, saved, read again, and its predictions written as comma-separated text."""
+    train, test = (part.withColumn("key", F.concat_ws("|", "brand", "week")) for part in features.time_split(weekly(t), "week"))
+    nodes = forest.grow_forest(train, DEMAND, "units", "key", TREES, LEVELS, BINS)
+    loaded = forest.load_forest(t.spark, forest.save_forest(nodes, scratch_path(t.spark, "demand-forest")))
+    scored = forest.score_forest(test, loaded, DEMAND, ["brand", "week"]).withColumnRenamed("score", "predicted")
+    path = sinks.write_csv(scored, scratch_path(t.spark, "forest-forecast"))
+    return readers.read_csv(t.spark, path, "brand string, week date, predicted double")
+
+
 @report("naive_forecast_errors", "M18", "rmse:f6 mape:f6 r2:f6", """
     WITH p AS (SELECT CAST(units AS DOUBLE) AS a, CAST(lag(units) OVER (PARTITION BY store, item ORDER BY day) AS DOUBLE) AS p FROM demand),
     q AS (SELECT * FROM p WHERE p IS NOT NULL)
