@@ -227,6 +227,20 @@ def _neighbours(celled: DataFrame, names: list[str], k: int) -> DataFrame:
     return found.select("_key", "_copies", "_point", F.transform("_near", lambda x: x["p"]).alias("_near"))
 
 
+def nearest_rows(df: DataFrame, features: Sequence[str], key: str, k: int = 5, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(key, place, distance) of the ``k`` nearest other rows of every row, with squared distances; the search of :func:`smote`.
+
+    Exact at any size.  Equal rows are neighbours at distance 0; rows with a null feature have to be left out before.
+    """
+    names = list(features)
+    rows = df.select(F.col(key).cast("string").alias("_key"), F.lit(0).cast("long").alias("_copies"), *[F.col(f).cast("double").alias(f) for f in names])
+    found = _neighbours(settled(_cells(rows, names, "_key", cell_rows)), names, k)
+    each = found.select("_key", "_point", F.posexplode("_near").alias("place", "_other"))
+    gaps = F.zip_with("_point", "_other", lambda a, b: (a - b) * (a - b))
+    return each.select(F.col("_key").cast(df.schema[key].dataType).alias(key), (F.col("place") + 1).alias("place"),
+                       F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x).alias("distance"))
+
+
 def smote(
     train: DataFrame, features: Sequence[str], label: str, key: str, minority=None, k: int = 5, seed: int = 42,
     cell_rows: int = CELL_ROWS,

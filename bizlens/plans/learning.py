@@ -263,6 +263,17 @@ def _(t):
     return forest.importances(grown(t)[0])
 
 
+_GAPS = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATURES)
+
+
+@report("smote_neighbours", "M7", "doc_id:i place:i distance:f6", f"""
+    WITH m AS ({_DOC_FEATURES} WHERE toxic = 1)
+    SELECT doc_id, place, distance FROM (SELECT a.key AS doc_id, {_GAPS} AS distance,
+      row_number() OVER (PARTITION BY a.key ORDER BY {_GAPS}) AS place FROM m a JOIN m b ON a.key <> b.key) x WHERE place <= 5""")
+def _(t):
+    return features.nearest_rows(documents(t).where("toxic = 1"), FEATURES, "doc_id")
+
+
 @report("confusion_counts", "M10", "label:i prediction:i n:i",
         "SELECT label, prediction, count(*) AS n FROM scored GROUP BY ALL")
 def _(t):

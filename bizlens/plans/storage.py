@@ -79,10 +79,18 @@ def _(t):
 def _(t):
     base = rfm.rfm_base(t.ord, "customer_id", "order_date", "amount")
     scored = rfm.rfm_segment(rfm.rfm_score(base, "customer_id"), "billing")
-    saved = sinks.save_table(scored, "bizlens_rfm_segment", path=scratch_path(t.spark, "rfm"), bucket_by="customer_id", buckets=8)
+    saved = sinks.save_table(scored, "bizlens_rfm_segment", path=scratch_path(t.spark, "rfm"), bucket_by="customer_id")
     return summary.summarize(saved, ["segment"], {"customers": F.count("*"), "avg_monetary": mean("monetary", 2)})
 
 
+@report("saved_customer_totals", "S7 A3", "customer_id:i orders:i total:f last_order:s", """
+    SELECT customer_id, count(*) AS orders, sum(amount) AS total, max(order_date) AS last_order FROM ord GROUP BY 1""")
+def _(t):
+    """Orders saved in buckets of customers, read by name and grouped where they lie."""
+    saved = sinks.save_table(t.ord, "bizlens_orders_by_customer", path=scratch_path(t.spark, "orders"), bucket_by="customer_id")
+    return summary.summarize(saved, ["customer_id"], {"orders": F.count("*"), "total": F.sum("amount"), "last_order": F.max("order_date")})
+
+
 @report("stored_churn_report", "S8 C9", "report_month:s total_customers:i new_customers:i retained_customers:i churned_customers:i", """
     WITH q AS (SELECT DISTINCT customer_id, year(order_date) AS y FROM ord WHERE order_date IS NOT NULL)
     SELECT CAST(p.y AS VARCHAR) AS report_month, (SELECT count(*) FROM q WHERE q.y = p.y) AS total_customers,

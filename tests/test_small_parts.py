@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bizlens.operators import cohort, features
+from bizlens.plans import REPORTS
+from bizlens.sources import sinks
 
 
 def plan(df) -> str:
@@ -66,3 +68,25 @@ def test_split_sorts_only_rows_near_the_edge(spark):
 def test_split_of_nothing(spark):
     train, test = features.stratified_split(spark.createDataFrame([], "id long, label int"), "label", "id")
     assert train.count() == test.count() == 0
+
+
+def test_saved_buckets_are_grouped_without_a_shuffle(spark, sf_dir, monkeypatch):
+    found = REPORTS["saved_customer_totals"].run(spark, sf_dir)
+    assert "Exchange" not in plan(found) and found.count() > 10
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 100)
+    again = REPORTS["saved_customer_totals"].run(spark, sf_dir)
+    assert "Exchange" not in plan(again) and again.exceptAll(found).count() == 0
+    listed = spark.sql("DESCRIBE EXTENDED bizlens_orders_by_customer").where("col_name = 'Num Buckets'").first().data_type
+    assert int(listed) == -(-spark.read.parquet(f"{sf_dir}/orders.parquet").count() // 100)
+
+
+@pytest.mark.parametrize("cell_rows", [4_000, 20])
+def test_nearest_rows_are_exact(spark, cell_rows):
+    r = random.Random(4)
+    rows = [(i, float(r.randrange(12)), r.random()) for i in range(150)] + [(200, 3.0, 0.5), (201, 3.0, 0.5)]
+    frame = spark.createDataFrame(rows, "id long, a double, b double")
+    got = {}
+    for row in features.nearest_rows(frame, ["a", "b"], "id", 4, cell_rows).orderBy("id", "place").collect():
+        got.setdefault(row.id, []).append(row.distance)
+    for i, a, b in rows:
+        assert got[i] == pytest.approx(sorted((a - x) ** 2 + (b - y) ** 2 for j, x, y in rows if j != i)[:4], abs=1e-12)
