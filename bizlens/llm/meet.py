@@ -57,6 +57,11 @@ def order_id(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 
+def row_key(id_: Column, text: Column) -> Column:
+    """What rows of equal id and text have in common; answers meet their row by it, however many rows an id (or no id) has."""
+    return F.shiftrightunsigned(F.xxhash64(id_, F.coalesce(text, F.lit(""))), 1)
+
+
 def lists(owner: np.ndarray, values: np.ndarray, ids: np.ndarray) -> tuple[pa.Array, pa.Array]:
     """One row per id that owns a value: the id and the list of its values."""
     order = np.argsort(owner, kind="stable")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.meet import lists, order_id, pack, part_count, part_of, settle, unpack
+from bizlens.llm.meet import lists, order_id, pack, part_count, part_of, row_key, settle, unpack
 from bizlens.llm.text import Rolling, crossing_free, steps, word_hashes, word_spans
 
 WINDOW, BLOCK = 20, 10
@@ -256,8 +256,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep = [c for c in docs.columns if c not in added]
     base = docs.select(order_id(id_col).alias("id"), F.hash(F.col(text_col)).alias("tag"), F.col(text_col).alias("text"))
     parts = part_count(docs, text_col)
-    hits = settle(anchor_hits(base, parts).groupBy("id").agg(F.flatten(F.collect_list("names")).alias("names")), "anchors")
-    found = repeated_windows(base.join(hits, "id", "left"), parts)
+    base = base.withColumn("row", row_key(F.col("id"), F.col("text")))
+    anchors = anchor_hits(base.select(F.col("row").alias("id"), "text"), parts).withColumnRenamed("id", "row")
+    hits = settle(anchors.groupBy("row").agg(F.flatten(F.collect_list("names")).alias("names")), "anchors")
+    found = repeated_windows(base.join(hits, "row", "left"), parts)
     places = settle(found.groupBy("id", "tag").agg(F.flatten(F.collect_list("places")).alias("places")), "repeats")
     own = docs.select(*[F.col(f"`{c}`") for c in keep], order_id(id_col).alias("_id"), F.hash(F.col(text_col)).alias("_tag"))
     joined = own.join(places.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("places").alias("_at")), ["_id", "_tag"], "left")

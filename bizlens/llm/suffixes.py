@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.meet import lists, order_id, pack, part_count, part_of, settle, unpack
+from bizlens.llm.meet import lists, order_id, pack, part_count, part_of, row_key, settle, unpack
 from bizlens.llm.text import CODES, Rolling, mixed, steps
 
 LENGTH = 200
@@ -241,8 +241,10 @@ def remove_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     base = docs.select(order_id(id_col).alias("id"), F.hash(F.col(text_col)).alias("tag"), text)
     parts = part_count(docs, text_col)
-    ranks = settle(cover_ranks(base, parts).groupBy("id").agg(F.flatten(F.collect_list("values")).alias("values")), "ranks")
-    spans = sorted_buckets(base.join(ranks, "id", "left"), parts)
+    base = base.withColumn("row", row_key(F.col("id"), F.col("text")))
+    covers = cover_ranks(base.select(F.col("row").alias("id"), "text"), parts).withColumnRenamed("id", "row")
+    ranks = settle(covers.groupBy("row").agg(F.flatten(F.collect_list("values")).alias("values")), "ranks")
+    spans = sorted_buckets(base.join(ranks, "row", "left"), parts)
     spans = settle(spans.groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag")).agg(F.flatten(F.collect_list("spans")).alias("_spans")), "spans")
     own = docs.select(*[F.col(f"`{c}`") for c in keep], order_id(id_col).alias("_id"), F.hash(F.col(text_col)).alias("_tag"), text.alias("_text"))
     rows = own.join(spans, ["_id", "_tag"], "left").select(*[F.col(f"`{c}`") for c in keep], "_text", "_spans")

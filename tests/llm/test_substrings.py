@@ -66,3 +66,21 @@ def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert found(queries.QUERIES["op8_repeated_windows"](spark, sf_dir)) == brute(rows)
     assert any(r[2] for r in brute(rows))
+
+
+@pytest.mark.parametrize("own", [None, 7])
+def test_rows_of_one_id_get_their_own_answers(spark, monkeypatch, own):
+    """Many rows without id, or of one id: each meets the names of its own text only."""
+    rows = [(own, f"h{i} {PASSAGE} t{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sizes = []
+    repeated = substrings.repeated_windows
+
+    def seen(hit, parts):
+        sizes.extend(r[0] for r in hit.selectExpr("size(array_distinct(names))").collect())
+        return repeated(hit, parts)
+
+    monkeypatch.setattr(substrings, "repeated_windows", seen)
+    out = found(substrings.remove_repeats(df))
+    assert len(sizes) == len(rows) and max(sizes) < 60
+    assert sorted(r[2] for r in out) == [0] + [45] * 119  # one row, by a hash of the texts, comes first
