@@ -18,7 +18,6 @@ SMOOTHING = 1.0
 #: Mean log ratio from which a text is kept.
 THRESHOLD = -0.3
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
 
 
 def let(value: Column, body) -> Column:
@@ -72,11 +71,11 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = docs.withColumn("_words", words_of(text))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     counted = words.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": _repeat_words(F.col("_words")),
     })
@@ -96,7 +95,8 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
         chosen = F.broadcast(chosen)
     grams = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
         chosen, F.col("_id") == F.col("_trusted"), "left").select(
-        F.col("_trusted").isNotNull().cast("int").alias("t"), F.explode(_grams(F.col("_text"))).alias("bucket"))
+        F.col("_trusted").isNotNull().cast("int").alias("t"), _grams(F.col("_text")).alias("_grams"))
+    grams = grams.select("t", F.explode_outer("_grams").alias("bucket")).where("bucket is not null")
     counts = stored(grams.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("t").alias("t")), "grams")
     total = counts.agg(F.sum("n"), F.sum("t")).first()
     every, trusted = ((x or 0) + SMOOTHING * BUCKETS for x in total)
@@ -112,8 +112,9 @@ def rule_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     """
     key = [F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash")]
     ratios = log_ratios(docs, trusted_ids, id_col, text_col)
-    # the key first: beside the explode it would be computed for every n-gram
-    grams = docs.select(*key, _grams(F.col(text_col)).alias("_grams")).select("_id", "_hash", F.explode("_grams").alias("bucket"))
+    # the key first: beside the explode it would be computed for every n-gram; an inner explode would compute the n-grams again in
+    # filters that the optimizer puts before it (not null, not empty)
+    grams = docs.select(*key, _grams(F.col(text_col)).alias("_grams")).select("_id", "_hash", F.explode_outer("_grams").alias("bucket"))
     scores = grams.join(F.broadcast(ratios), "bucket").groupBy("_id", "_hash").agg((F.sum("ratio") / F.count("*") / 1e6).alias("_llr"))
     rows = measured(docs, text_col).drop("_words").withColumns({"_key": F.col(id_col), "_text_hash": F.xxhash64(F.col(text_col))})
     joined = rows.join(scores, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")

@@ -84,3 +84,11 @@ def test_only_letters_make_a_language(spark):
     texts = ["½ ² ③", "Ⅷ", "12 _ ١", "", None, "drei", "é", "日"]
     rows = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), ["de", "en"], parsers).collect()
     assert [r.lang_pred == "und" for r in sorted(rows)] == [True] * 5 + [False] * 3
+
+
+def test_rules_compute_the_grams_of_a_text_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, ""), (3, None)], "doc_id long, text string").cache()
+    ratios = rules.rule_quality(docs, docs.select("doc_id"))
+    plan = ratios._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Filter" in line and "xxhash64(lambda" in line]
+    assert sum("xxhash64(lambda" in line and "65536" in line for line in plan) == 1
