@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 
 from bizlens.operators.linear import Coefficients
 
+#: Training rows of one task of a forest.  Every row visits every tree at every level, so far fewer rows than Spark deals by their bytes.
+FOREST_ROWS = 50_000
+
 
 def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return Pipeline(stages=[vectors, estimator]).fit(train)
 
 
+def dealt(train: DataFrame, rows: int | None = None) -> DataFrame:
+    """``train`` in parts of about ``rows``, where it has more; a smaller one stays as it is."""
+    parts = -(-train.count() // (FOREST_ROWS if rows is None else rows))
+    return train.repartition(parts) if parts > 1 else train
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 1000, c: float = 1.0):
     """Logistic regression with the L2 penalty ``1 / (c * rows)`` on unscaled features."""
     penalty = 1.0 / (c * max(train.count(), 1))
@@ -34,7 +43,7 @@ def fit_forest_classifier(
     """Random forest; pass the column of ``class_weights`` for balanced classes."""
     forest = RandomForestClassifier(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed)
-    return _fit(train, features, forest.setWeightCol(weight) if weight else forest)
+    return _fit(dealt(train), features, forest.setWeightCol(weight) if weight else forest)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str):
@@ -45,7 +54,7 @@ def fit_forest_regressor(
     train: DataFrame, features: Sequence[str], label: str, trees: int = 300, depth: int = 30, seed: int = 42
 ):
     """Random forest on all features per split; 30 is the deepest tree Spark grows."""
-    return _fit(train, features, RandomForestRegressor(
+    return _fit(dealt(train), features, RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed))
 
 

@@ -160,3 +160,16 @@ def test_regression(spark):
     assert errors.rmse < 1e-6 and errors.r2 == pytest.approx(1.0)
     forest = models.fit_forest_regressor(frame, ["x"], "y", trees=5, depth=5)
     assert evaluation.regression_metrics(models.forecast_output(forest, frame, ["x"], "y")).first().r2 > 0.9
+
+
+def test_forests_are_fitted_in_parts_of_few_rows(spark, monkeypatch):
+    frame = spark.range(1000).selectExpr("id % 10 * 1.0 AS x", "id % 2 * 1.0 AS y").coalesce(1)
+    fitted = []
+    fit = models._fit
+    monkeypatch.setattr(models, "_fit", lambda train, *rest: fitted.append((train.rdd.getNumPartitions(), train.count())) or fit(train, *rest))
+    monkeypatch.setattr(models, "FOREST_ROWS", 300)
+    models.fit_forest_classifier(frame, ["x"], "y", trees=2, depth=2)
+    models.fit_forest_regressor(frame, ["x"], "y", trees=2, depth=2)
+    monkeypatch.setattr(models, "FOREST_ROWS", 1000)
+    models.fit_forest_classifier(frame, ["x"], "y", trees=2, depth=2)
+    assert fitted == [(4, 1000), (4, 1000), (1, 1000)]
