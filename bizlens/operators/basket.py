@@ -7,14 +7,16 @@ are first reduced to one per basket and product.  If some basket is larger than
   the product of the two products' norms over all baskets.  For a top-n the count to reach is found from
   the pairs of a few strong products, whose n-th best count bounds the answer's from below.
 * the products of such a basket are dealt into blocks by a hash, and every two blocks meet under their own
-  join key, so no task pairs more than about block by block products.
+  key, so no task pairs more than about block by block products.
 
 Both keep the result exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from math import ceil
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.operators.joins import attach
@@ -24,30 +26,51 @@ from bizlens.operators.scale import settled
 BLOCK_PRODUCTS = 256
 #: Strong products whose pairs give the first bound of a top-n.
 PROBE_PRODUCTS = 512
+#: Pairs that one task forms and counts: baskets are dealt by their pairs, since a few bytes of a basket make many of them.
+TASK_PAIRS = 500_000
 
 
-def _pairs(items: DataFrame, block: int, large: DataFrame | None, floor: int) -> DataFrame:
-    """Counts of all pairs that can reach ``floor``."""
-    columns = ["_txn", "_product", "_weight"] + (["_square"] if floor > 1 else [])
+def _cells(items: DataFrame, block: int, large: DataFrame | None, parts: int, entry: Column) -> DataFrame:
+    """(_same, _first, _second): lists of products to be paired, all of one basket; within one list where ``_same``.
+
+    A list has a row of its own and not one per product; it is copied once per block of its basket.  Without ``large`` the items
+    are dealt by basket.
+    """
     if large is None:
-        placed = items.select(*columns, F.lit(0).alias("_i"), F.lit(0).alias("_j"))
-        left, right = placed, placed
-    else:
-        sized = attach(items, large, "_txn", "_rows", "left")
-        blocks = F.coalesce(F.ceil(F.col("_size") / block).cast("int"), F.lit(1))
-        own = F.pmod(F.xxhash64("_product"), blocks).cast("int")
-        every = F.explode(F.sequence(F.lit(0), blocks - 1))
-        left = sized.select(*columns, own.alias("_i"), every.alias("_j"))
-        right = sized.select(*columns, every.alias("_i"), own.alias("_j"))
-    a = left.select(*[F.col(c).alias(f"a{c}") for c in (*columns, "_i", "_j")])
-    b = right.select(*[F.col(c).alias(f"b{c}") for c in (*columns, "_i", "_j")])
-    together = (F.col("a_txn") == F.col("b_txn")) & (F.col("a_product") < F.col("b_product"))
-    if large is not None:
-        together &= (F.col("a_i") == F.col("b_i")) & (F.col("a_j") == F.col("b_j"))
+        lists = items.groupBy("_txn").agg(F.collect_list(entry).alias("_first"))
+        return lists.select(F.lit(True).alias("_same"), "_first", F.col("_first").alias("_second"))
+    sized = attach(items, large, "_txn", "_rows", "left")
+    blocks = F.coalesce(F.ceil(F.col("_size") / block).cast("int"), F.lit(1))
+    own = F.pmod(F.xxhash64("_product"), blocks).cast("int")
+    dealt = sized.select("_txn", own.alias("_i"), blocks.alias("_blocks"), entry.alias("_entry")).repartition(parts, "_txn", "_i")
+    lists = dealt.groupBy("_txn", "_i", "_blocks").agg(F.collect_list("_entry").alias("_list"))
+    copies = lists.select("_txn", "_i", "_list", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_j"))
+    least, most = F.least("_i", "_j"), F.greatest("_i", "_j")
+    met = copies.select("_txn", least.alias("_low"), most.alias("_high"), "_list").repartition(parts, "_txn", "_low", "_high")
+    same = F.col("_low") == F.col("_high")
+    both = met.groupBy("_txn", "_low", "_high").agg(F.collect_list("_list").alias("_lists"))
+    return both.select(same.alias("_same"), F.get("_lists", F.lit(0)).alias("_first"), F.get("_lists", F.when(same, 0).otherwise(1)).alias("_second"))
+
+
+def _pairs(items: DataFrame, block: int, large: DataFrame | None, floor: int, parts: int) -> DataFrame:
+    """Counts of all pairs that can reach ``floor``."""
+    entry = F.struct("_product", "_weight", *(["_square"] if floor > 1 else []))
+    cells = _cells(items, block, large, parts, entry).select("_same", F.explode("_first").alias("a"), "_second")
+    met = cells.select("_same", "a", F.explode("_second").alias("b"))
+    together = ~F.col("_same") | (F.col("a._product") < F.col("b._product"))
     if floor > 1:
-        together &= F.col("a_square") * F.col("b_square") >= F.lit(float(floor) ** 2 * (1 - 1e-9))
-    counts = a.join(b, together).groupBy(F.col("a_product").alias("product_a"), F.col("b_product").alias("product_b"))
-    return counts.agg(F.sum(F.col("a_weight") * F.col("b_weight")).alias("pair_count"))
+        together &= F.col("a._square") * F.col("b._square") >= F.lit(float(floor) ** 2 * (1 - 1e-9))
+    pairs = met.where(together).select(
+        F.least("a._product", "b._product").alias("product_a"), F.greatest("a._product", "b._product").alias("product_b"),
+        (F.col("a._weight") * F.col("b._weight")).alias("_both"))
+    return pairs.groupBy("product_a", "product_b").agg(F.sum("_both").alias("pair_count"))
+
+
+def _most_and_parts(sizes: DataFrame) -> tuple[int, int]:
+    """Size of the largest basket, and in how many parts all pairs are formed."""
+    pairs = F.sum(F.col("_size").cast("double") * (F.col("_size") - 1) / 2)
+    most, formed = sizes.agg(F.max("_size"), pairs).first()
+    return most or 0, max(1, ceil((formed or 0) / TASK_PAIRS))
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -65,12 +88,16 @@ def pair_counts(
     """
     weight = F.count("*") if by_rows else F.lit(1).cast("long")
     known = df.where(F.col(txn).isNotNull() & F.col(product).isNotNull())
-    items = known.groupBy(F.col(txn).alias("_txn"), F.col(product).alias("_product")).agg(weight.alias("_weight"))
+    named = known.select(F.col(txn).alias("_txn"), F.col(product).alias("_product"))
+    most, parts = _most_and_parts(named.groupBy("_txn").agg(F.count("*").alias("_size")))
     large = None
-    if not known.groupBy(txn).agg(F.count("*").alias("_n")).where(F.col("_n") > block).isEmpty():
-        items = settled(items)
+    if most > block:
+        items = settled(named.groupBy("_txn", "_product").agg(weight.alias("_weight")))
         sizes = items.groupBy("_txn").agg(F.count("*").alias("_size"))
+        parts = _most_and_parts(sizes)[1]
         large = sizes.where(F.col("_size") > block).withColumn("_rows", F.col("_size"))
+    else:
+        items = named.repartition(parts, "_txn").groupBy("_txn", "_product").agg(weight.alias("_weight"))
     floor, kept = min_count, items
     if large is not None and (n is not None or min_count > 1):
         square = F.sum(F.col("_weight") * F.col("_weight")).cast("double")
@@ -78,13 +105,13 @@ def pair_counts(
         if n is not None:
             strong = norms.orderBy(F.desc("_square"), "_product").limit(probe).select("_product")
             few = items.join(F.broadcast(strong), "_product", "left_semi")
-            reached = _ranked(_pairs(few, block, large, 1)).offset(n - 1).limit(1).collect()
+            reached = _ranked(_pairs(few, block, large, 1, parts)).offset(n - 1).limit(1).collect()
             floor = max([floor] + [row.pair_count for row in reached])
         if floor > 1:
             strongest = norms.agg(F.max("_square")).scalar()
             able = norms.where(F.col("_square") * strongest >= F.lit(float(floor) ** 2 * (1 - 1e-9)))
             kept = attach(items, able, "_product", "_rows")
-    pairs = _pairs(kept, block, large, floor if large is not None else 1)
+    pairs = _pairs(kept, block, large, floor if large is not None else 1, parts)
     if min_count > 1:
         pairs = pairs.where(F.col("pair_count") >= min_count)
     return pairs if n is None else _ranked(pairs).limit(n)

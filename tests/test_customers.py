@@ -3,6 +3,8 @@
 import collections
 import datetime
 import itertools
+import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,3 +214,17 @@ def test_csv_and_tables(spark, tmp_path):
     saved = sinks.save_table(frame, "bizlens_test_table", path=str(tmp_path / "table"), partition_by="i")
     assert saved.count() == 2
     assert [r.column_name for r in readers.describe_schema(frame).collect()] == ["i", "t", "d"]
+
+
+def test_baskets_are_dealt_by_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(basket, "TASK_PAIRS", 10)
+    rows = [(t, p) for t in range(30) for p in range(t % 3, 5)] + [(None, 1), (1, None)]
+    frame = spark.createDataFrame(rows, "t int, p int").coalesce(1)
+    expected = brute_pairs([r for r in rows if None not in r], True)
+    parts = math.ceil(10 * (10 + 6 + 3) / 10)
+    for block in (256, 2):
+        counted = basket.pair_counts(frame, "t", "p", block=block)
+        plan = counted._jdf.queryExecution().optimizedPlan().toString()
+        assert re.findall(r"RepartitionByExpression \[_txn[^\]]*\], (\d+)", plan) == [str(parts)] * (1 if block == 256 else 2)
+        assert "Inner" not in plan  # the products of a basket are not joined with each other
+        assert {(r.product_a, r.product_b): r.pair_count for r in counted.collect()} == dict(expected)
