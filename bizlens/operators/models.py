@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bizlens.operators.linear import Coefficients
 
 #: Training rows of one task of a forest.  Every row visits every tree at every level, so far fewer rows than Spark deals by their bytes.
-FOREST_ROWS = 50_000
+FOREST_ROWS = 20_000
 
 
 def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
